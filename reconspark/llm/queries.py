@@ -6,7 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reconspark.functions.text import typed_key
+from reconspark.llm.bpe import token_counts, token_ids
+from reconspark.llm.mixing import mixture, shares
 from reconspark.llm.survivors import by_field, survivors
+from reconspark.session import staged
 from reconspark.sources.tables import table
 
 ORDER_FIELDS = ("shop", "platform_order_no", "order_status", "payment_time", "ship_time", "receivable_amount")
@@ -19,4 +22,24 @@ def p2_found(spark: SparkSession, d: str) -> DataFrame:
     return by_field(survivors(rows, "k", "row_id", ORDER_FIELDS, "trust_rank", "exported_at"), ORDER_FIELDS)
 
 
-QUERIES = {f.__name__: f for f in (p2_found,)}
+def p8_ids(spark: SparkSession, d: str) -> DataFrame:
+    """Token ids of every document."""
+    return token_ids(table(spark, d, "documents"))
+
+
+def _sizes(spark: SparkSession, d: str) -> DataFrame:
+    return staged(token_counts(table(spark, d, "documents"), ("doc_id", "source")), "token-counts")
+
+
+def p9_mixture(spark: SparkSession, d: str) -> DataFrame:
+    """The mixture of all sources at their target shares, one row for each copy of a document."""
+    return mixture(_sizes(spark, d), table(spark, d, "mix_target"))
+
+
+def p9_shares(spark: SparkSession, d: str) -> DataFrame:
+    """The share that each source really reached, beside its target."""
+    sizes, targets = _sizes(spark, d), table(spark, d, "mix_target")
+    return shares(sizes, targets, mixture(sizes, targets))
+
+
+QUERIES = {f.__name__: f for f in (p2_found, p8_ids, p9_mixture, p9_shares)}
