@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -47,3 +49,19 @@ def checkpoint(df: DataFrame) -> DataFrame:
     if sc._jsc.sc().getCheckpointDir().isEmpty():
         sc.setCheckpointDir(shared_dir(df.sparkSession))
     return df.checkpoint(eager=True)
+
+
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """Writes a table into the shared folder and reads it again: lineage is cut and lost executors lose nothing."""
+    place = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(place)
+    atexit.register(_remove, df.sparkSession, place)
+    return df.sparkSession.read.parquet(place)
+
+
+def _remove(spark: SparkSession, place: str) -> None:
+    try:
+        path = spark._jvm.org.apache.hadoop.fs.Path(place)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    except Exception:  # the session has ended; the folder's owner clears it
+        pass
