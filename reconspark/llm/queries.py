@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from reconspark.functions.text import typed_key
 from reconspark.llm.bpe import token_counts, token_ids
 from reconspark.llm.mixing import mixture, shares
+from reconspark.llm.reading import reading_levels
 from reconspark.llm.survivors import by_field, survivors
 from reconspark.session import staged
 from reconspark.sources.tables import table
@@ -42,4 +43,9 @@ def p9_shares(spark: SparkSession, d: str) -> DataFrame:
     return shares(sizes, targets, mixture(sizes, targets))
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p8_ids, p9_mixture, p9_shares)}
+def p10_found(spark: SparkSession, d: str) -> DataFrame:
+    """Reading level of every document with at least two sentences of prose."""
+    return reading_levels(table(spark, d, "documents"), table(spark, d, "reading_label")).select("doc_id", "reading_level")
+
+
+QUERIES = {f.__name__: f for f in (p2_found, p8_ids, p9_mixture, p9_shares, p10_found)}
