@@ -33,7 +33,7 @@ def squeeze(c: Column | str) -> Column:
 
 def strip(c: Column | str) -> Column:
     """Without outer white space of any kind."""
-    return F.regexp_replace(_col(c), f"^{SPACE}+|{SPACE}+$", "")
+    return F.regexp_replace(_col(c), f"^{SPACE}++|(?<!{SPACE}){SPACE}++$", "")
 
 
 def clean_text(c: Column | str) -> Column:

@@ -125,8 +125,8 @@ def to_base_units(rows: DataFrame, specs: DataFrame, key: str = "row_id") -> Dat
 
     own = rows.select(F.col(key), trimmed_key("material_key").alias("__m"), F.col("unit").alias("__unit"), F.col("quantity").alias("__q")).where(~number_blank("__q"))
     own = own.withColumn("__text", F.coalesce(_tidy("__unit"), F.lit("")))
-    number = F.regexp_extract("__text", r"(\d+(?:\.\d+)?)([^\d/()]+?)装?(?:$|[/()]|(?<=装)\D)", 1)
-    inner = F.regexp_extract("__text", r"(\d+(?:\.\d+)?)([^\d/()]+?)(?:装\D*$|$|[/()])", 2)
+    number = F.regexp_extract("__text", r"(?<![\d.])(\d++(?:\.\d++)?)([^\d/()]+?)装?(?:$|[/()]|(?<=装)\D)", 1)
+    inner = F.regexp_extract("__text", r"(?<![\d.])(\d++(?:\.\d++)?)([^\d/()]+?)(?:装\D*$|$|[/()])", 2)
     own = own.withColumn("__n", F.coalesce(number.try_cast("decimal(20,6)"), F.lit(1).cast("decimal(20,6)")))
     own = own.withColumn("__alias", F.when(F.col("__text").rlike(r"\d"), inner).otherwise(F.regexp_replace("__text", "(?<=.)装$", "")))
     aliases = alias_table(rows.sparkSession)
