@@ -7,9 +7,11 @@ from pyspark.sql import functions as F
 
 from reconspark.functions.text import typed_key
 from reconspark.llm.bpe import token_counts, token_ids
+from reconspark.llm.linkage import links, stores
 from reconspark.llm.mixing import mixture, shares
 from reconspark.llm.reading import reading_levels
 from reconspark.llm.survivors import by_field, survivors
+from reconspark.llm.variants import parsed_names, spelling_classes, spelling_pairs
 from reconspark.session import staged
 from reconspark.sources.tables import table
 
@@ -23,6 +25,30 @@ def p2_found(spark: SparkSession, d: str) -> DataFrame:
     return by_field(survivors(rows, "k", "row_id", ORDER_FIELDS, "trust_rank", "exported_at"), ORDER_FIELDS)
 
 
+def p3_links(spark: SparkSession, d: str) -> DataFrame:
+    """Confidence of every candidate pair of customers, bill shops and order shops."""
+    return links(table(spark, d, "shop_profile"), table(spark, d, "customer_shop_map"))
+
+
+def p3_found(spark: SparkSession, d: str) -> DataFrame:
+    """The bill shop and the order shop of each customer that runs a store."""
+    return stores(p3_links(spark, d)).select("customer_code", "profile_side", "shop")
+
+
+def p5_classes(spark: SparkSession, d: str) -> DataFrame:
+    """The class of each shop text and how many other texts are linked with it."""
+    shops = table(spark, d, "huice_detail").select("shop").unionAll(table(spark, d, "wdt_orders_file").select("shop"))
+    shops = shops.where("shop is not null").groupBy("shop").agg(F.count(F.lit(1)).alias("n"))
+    profiles = table(spark, d, "shop_profile").where("profile_side <> 'oms' and nick is not null").select(F.col("entity_key").alias("shop"), F.lower("nick").alias("said"))
+    nicknames = parsed_names(profiles).where("brand <> ''").select(F.col("said").alias("nick"), "brand")
+    return spelling_classes(shops, nicknames)
+
+
+def p5_found(spark: SparkSession, d: str) -> DataFrame:
+    """Pairs of spellings of one store."""
+    return spelling_pairs(p5_classes(spark, d))
+
+
 def p8_ids(spark: SparkSession, d: str) -> DataFrame:
     """Token ids of every document."""
     return token_ids(table(spark, d, "documents"))
@@ -48,4 +74,4 @@ def p10_found(spark: SparkSession, d: str) -> DataFrame:
     return reading_levels(table(spark, d, "documents"), table(spark, d, "reading_label")).select("doc_id", "reading_level")
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p8_ids, p9_mixture, p9_shares, p10_found)}
+QUERIES = {f.__name__: f for f in (p2_found, p3_found, p3_links, p5_found, p5_classes, p8_ids, p9_mixture, p9_shares, p10_found)}
