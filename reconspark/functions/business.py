@@ -9,6 +9,7 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
+from pyspark.sql.types import StringType
 
 from reconspark.functions.text import _col
 
@@ -43,7 +44,7 @@ def next_day(c: Column | str) -> Column:
     return F.date_format(F.date_add(F.try_to_timestamp(F.substring(_col(c), 1, 10), F.lit("yyyy-MM-dd")).cast("date"), 1), "yyyy-MM-dd")
 
 
-@pandas_udf("string")
+@pandas_udf(StringType())
 def nfkc_lower(s: pd.Series) -> pd.Series:
     """NFKC and lower case; the JVM has no built-in for it. For distinct names."""
     return s.map(lambda t: unicodedata.normalize("NFKC", t or "").lower())

@@ -22,4 +22,4 @@ def pro_rata(joined: DataFrame, group: list[str], amount: str, quantity: str, sp
         .otherwise(F.lit(1.0) / F.col("item_groups"))
     )
     out = out.withColumn("alloc_rate", rate)
-    return out.select("*", *[(F.col(a) * F.col("alloc_rate")).alias(n) for a, n in spread.items()])
+    return out.select("*", *[(F.col(a) * F.col("alloc_rate")).alias(n) for n, a in spread.items()])
