@@ -22,8 +22,8 @@ def _col(c: Column | str) -> Column:
 
 
 def half_width(c: Column | str) -> Column:
-    """Full-width letters, digits, signs and spaces as their half-width forms."""
-    return F.translate(_col(c), _WIDE, _NARROW)
+    """Full-width letters, digits, signs and spaces as their half-width forms; pure ASCII passes untouched."""
+    return F.when(F.octet_length(_col(c)) == F.length(_col(c)), _col(c)).otherwise(F.translate(_col(c), _WIDE, _NARROW))
 
 
 def squeeze(c: Column | str) -> Column:
@@ -44,7 +44,7 @@ def clean_text(c: Column | str) -> Column:
 def is_blank(c: Column | str) -> Column:
     """True for null, white space and placeholders; never null."""
     bare = F.upper(squeeze(half_width(c)))
-    return F.coalesce(bare.isin(*PLACEHOLDERS), F.lit(True))
+    return F.when(_col(c).rlike("^[0-9A-Za-z]{5}"), F.lit(False)).otherwise(F.coalesce(bare.isin(*PLACEHOLDERS), F.lit(True)))
 
 
 def number_blank(c: Column | str) -> Column:
@@ -60,9 +60,9 @@ def typed_key(c: Column | str) -> Column:
     bare = F.upper(squeeze(half_width(c)))
     bare = F.regexp_replace(bare, "^=(?=" + QUOTE + ")", "")
     bare = F.regexp_replace(bare, QUOTE, "")
-    return F.when(is_blank(c) | (bare == ""), F.lit(None)).otherwise(bare)
+    return F.when(_col(c).rlike("^[0-9A-Z_-]{5,}+$"), _col(c)).when(is_blank(c) | (bare == ""), F.lit(None)).otherwise(bare)
 
 
 def trimmed_key(c: Column | str) -> Column:
     """A key apart from letter case and outer white space; null if blank."""
-    return F.when(is_blank(c), F.lit(None)).otherwise(F.upper(strip(c)))
+    return F.when(_col(c).rlike("^[0-9A-Z:_-]{5,}+$"), _col(c)).when(is_blank(c), F.lit(None)).otherwise(F.upper(strip(c)))

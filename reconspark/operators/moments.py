@@ -18,6 +18,8 @@ _XXY = r"^(\d{1,2})[-/.](\d{1,2})[-/.](\d{4})" + _CLOCK
 _DNY = r"^(\d{1,2})[- ]([a-z]{3,9})\.?[- ,]+(\d{4})" + _CLOCK
 _NDY = r"^([a-z]{3,9})\.? +(\d{1,2}),? +(\d{4})" + _CLOCK
 _DIGITS = r"^(\d{4})(\d{2})(\d{2})(?:(\d{2})(\d{2})(\d{2})?)?$"
+#: The commonest form, cut by position instead of by pattern.
+_PLAIN = r"^\d{4}-\d{2}-\d{2}(?:[ Tt]\d{2}:\d{2}:\d{2})?$"
 _MONTHS = "janfebmaraprmayjunjulaugsepoctnovdec"
 
 #: Zone abbreviations as offsets. CST is read as China Standard Time.
@@ -42,26 +44,29 @@ CANDIDATE_ZONES = (
 
 
 def _tidy(c: Column | str) -> Column:
-    return F.trim(F.regexp_replace(half_width(c), SPACE + "+", " "))
+    return F.when(_col(c).rlike("^[!-~]++(?: [!-~]++)*+$"), _col(c)).otherwise(F.trim(F.regexp_replace(half_width(c), SPACE + "+", " ")))
 
 
-def zone_text(c: Column | str) -> Column:
-    """The zone or offset that a text states after its time of day, as a zone id; null without one."""
-    raw = F.regexp_extract(_tidy(c), _ZONE, 1)
-    bare = F.regexp_replace(raw, r"[\[\]]", "")
+def _zone_id(raw: Column) -> Column:
+    """A stated zone or offset as a zone id; null for the empty text."""
+    bare = F.translate(raw, "[]", "")
     upper = F.upper(bare)
     signed = F.regexp_replace(upper, r"^(?:UTC|GMT)?\s?(?=[+-])", "")
-    digits = F.regexp_replace(signed, "[+:-]", "")
+    digits = F.translate(signed, "+:-", "")
     hours = F.when(F.length(digits) > 2, F.substring(F.lpad(digits, 4, "0"), 1, 2)).otherwise(F.lpad(digits, 2, "0"))
     minutes = F.when(F.length(digits) > 2, F.right(digits, F.lit(2))).otherwise(F.lit("00"))
     offset = F.concat(F.substring(signed, 1, 1), hours, F.lit(":"), minutes)
     known = F.create_map(*[F.lit(x) for pair in ABBREVIATIONS.items() for x in pair])
-    return (
-        F.when(raw == "", F.lit(None))
-        .when(signed.rlike(r"^[+-]\d"), offset)
-        .when(bare.contains("/"), bare)
-        .otherwise(F.coalesce(F.try_element_at(known, upper), bare))
-    )
+    return F.when(F.coalesce(raw, F.lit("")) == "", F.lit(None)).when(bare.contains("/"), bare).when(raw.rlike(r"[+-]\d"), offset).otherwise(F.coalesce(F.try_element_at(known, upper), bare))
+
+
+def _with_zone(df: DataFrame, text: str, into: str, rest: str) -> DataFrame:
+    """Adds `into`, the zone id that the tidy text states after its time of day, and `rest`, the text before it."""
+    plain = F.col(text).rlike(_PLAIN)
+    stated = F.col(text).rlike(r":\d{2}.*[^\d秒]$|[+-]\d{1,2}(:?\d{2})?$")
+    df = _settled(df, __raw=F.when(~plain & stated, F.regexp_extract(text, _ZONE, 1)))
+    before = F.trim(F.left(F.col(text), F.length(text) - F.length("__raw")))
+    return _settled(df, **{into: _zone_id(F.col("__raw")), rest: F.lower(F.when(F.coalesce("__raw", F.lit("")) == "", F.col(text)).otherwise(before))}).drop("__raw")
 
 
 def _fields(text: Column, date_order: Column | str) -> Column:
@@ -74,8 +79,10 @@ def _fields(text: Column, date_order: Column | str) -> Column:
     rest = F.regexp_replace(text, _XXY, clock)
     year = F.split_part(xxy, F.lit("|"), F.lit(3))
     named = F.when(text.rlike(_DNY), F.regexp_replace(text, _DNY, "$3|$2|$1|" + clock)).when(text.rlike(_NDY), F.regexp_replace(text, _NDY, "$3|$1|$2|" + clock))
+    cut = F.concat_ws("|", F.substring(text, 1, 4), F.substring(text, 6, 2), F.substring(text, 9, 2), F.lit(""), F.substring(text, 12, 2), F.substring(text, 15, 2), F.substring(text, 18, 2), F.lit(""))
     return (
-        F.when(text.rlike(_YMD), F.regexp_replace(text, _YMD, "$1|$2|$3|" + clock))
+        F.when(text.rlike(_PLAIN), cut)
+        .when(text.rlike(_YMD), F.regexp_replace(text, _YMD, "$1|$2|$3|" + clock))
         .when(text.rlike(_XXY), F.concat_ws("|", year, F.when(month_first, first).otherwise(second), F.when(month_first, second).otherwise(first), rest))
         .when(text.rlike(r"^(\d{8}|\d{12}|\d{14})$"), F.regexp_replace(text, _DIGITS, "$1|$2|$3||$4|$5|$6|"))
         .when(text.rlike("[a-z]{3}"), named)
@@ -105,9 +112,7 @@ def with_instant(df: DataFrame, text: str, zone: str, date_order: str, into: str
     """
     temp = ["__text", "__zone", "__body", "__part", "__serial"]
     df = _settled(df, __text=F.when(~is_blank(text), _tidy(text)))
-    stated = F.col("__text").rlike(r":\d{2}.*[^\d秒]$|[+-]\d{1,2}(:?\d{2})?$")
-    df = _settled(df, __zone=F.when(stated, zone_text("__text")))
-    df = _settled(df, __body=F.lower(F.when(F.col("__zone").isNull(), F.col("__text")).otherwise(F.trim(F.regexp_replace(F.col("__text"), _ZONE, "")))))
+    df = _with_zone(df, "__text", "__zone", "__body")
     df = _settled(df, __part=F.split(_fields(F.col("__body"), F.col(date_order)), r"\|", -1), __serial=_local_ms(F.col("__body")))
 
     part = lambda k: F.col("__part")[k]
@@ -141,7 +146,7 @@ def estimate_zones(rows: DataFrame, group: str, text: str, ingested: str, date_o
     ingestion, then the name. Groups without readable text or with a null name do not come out.
     """
     own = rows.select(F.col(group).alias("__g"), F.col(text).alias("__t"), F.col(ingested).cast("timestamp").alias("__in"), F.col(date_order).alias("__o")).where("__g is not null")
-    own = _settled(own.withColumn("__utc", F.lit("UTC")), __z=zone_text("__t"))
+    own = _with_zone(_settled(own.withColumn("__utc", F.lit("UTC")), __tidy=_tidy("__t")), "__tidy", "__z", "__rest")
     own = with_instant(own, "__t", "__utc", "__o", "__ms").where("__ms is not null")
     shown = own.where(F.col("__z").rlike(r"^[+-]"))
     local = own.where(F.col("__z").isNull() & ~F.trim("__t").rlike(r"^(\d{10}|\d{13})$"))
