@@ -82,6 +82,14 @@ VIEWS = {
         from fx_shop_map""",
 }
 
+VIEWS["fx_text"] = """
+        select o_orderkey as ok, cast(round(o_totalprice * 100) as bigint) as cents, substr(cast(o_orderdate as string), 1, 10) as day,
+            case o_orderkey % 6 when 0 then cast(cast(round(o_totalprice * 100) as bigint) as string) when 1 then '  ' || cast(cast(round(o_totalprice * 100) as bigint) as string) || ' ' when 2 then 'N/A' when 3 then ''
+                when 4 then cast(cast(floor(round(o_totalprice * 100) / 1000) as bigint) as string) || ',' || lpad(cast(cast(round(o_totalprice * 100) as bigint) % 1000 as string), 3, '0') else '1d' end as number_text,
+            cast(cast(substr(cast(o_orderdate as string), 1, 4) as int) + 20 as string) || case o_orderkey % 3 when 0 then '年' when 1 then '-' else '/' end || cast(cast(substr(cast(o_orderdate as string), 6, 2) as int) as string) || '月' as month_text,
+            case when o_orderkey % 4 = 0 then '明细.xlsx' else cast(25 + o_orderkey % 2 as string) || '年' || cast(1 + o_orderkey % 12 as string) || '月.xlsx' end as file_name
+        from orders"""
+
 _BASE = ("lineitem", "orders", "customer")
 
 
