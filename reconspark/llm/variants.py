@@ -12,6 +12,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -30,12 +31,13 @@ def parsed_names(texts: DataFrame, column: str = "shop") -> DataFrame:
     keep = [c for c in texts.columns if c not in parts]
     kinds = dict(texts.dtypes)
 
-    def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            names = [shop_name(t) for t in batch[column]]
-            yield batch.assign(**{p: [getattr(n, p) for n in names] for p in parts})
+            names = [shop_name(t.as_py()) for t in batch.column(keep.index(column))]
+            made = [pa.array([getattr(n, p) for n in names], pa.string()) for p in parts]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *made], names=[*keep, *parts])
 
-    return texts.select(*keep).mapInPandas(parse, ", ".join(f"`{c}` {kinds[c]}" for c in keep) + ", " + ", ".join(f"{p} string" for p in parts))
+    return texts.select(*keep).mapInArrow(parse, ", ".join(f"`{c}` {kinds[c]}" for c in keep) + ", " + ", ".join(f"{p} string" for p in parts))
 
 
 def trie_pairs(names: list[str], queries: list[str], distance: int = DISTANCE) -> Iterator[tuple[str, str]]:
@@ -74,7 +76,7 @@ def _neighbours(cores: DataFrame) -> DataFrame:
     def join(group: pd.DataFrame) -> pd.DataFrame:
         names, queries = (group.loc[group["side"] == s, "brand"].tolist() for s in (0, 1))
         pairs = [(q, n) for q, n in trie_pairs(names, queries) if same_brand(q, n)]
-        return pd.DataFrame({"block": group["block"].iloc[0], "brand": [q for q, _ in pairs], "other": [n for _, n in pairs]})
+        return pd.DataFrame({"block": group["block"].iloc[0], "brand": [q for q, _ in pairs], "other": [n for _, n in pairs]}, dtype=object)
 
     return built.unionByName(asked).groupBy("block", "trie", "part").applyInPandas(join, "block string, brand string, other string")
 
