@@ -316,7 +316,7 @@ class Chain:
         """The same rolled up by shop and month, judged on the summed differences."""
         groups = ["bill_month", "platform", "bill_shop", "customer_code", "customer_name", "mapping_status"]
         whole = ("bridge_qty", "oms_qty", "oms_amount", "mapped_orders", "bill_rows", "oms_docs")
-        rolled = self.bill_oms_item_recon.groupBy(*groups).agg(*[F.round(F.sum(c), 3).alias(c) for c in ("bill_receivable", "bill_cash", "receivable_difference", "cash_difference")], *[F.sum(c).alias(c) for c in whole])
+        rolled = self.bill_oms_item_recon.groupBy(*groups).agg(*[F.sum(F.col(c).cast("decimal(28,4)")).cast("double").alias(c) for c in ("bill_receivable", "bill_cash", "receivable_difference", "cash_difference")], *[F.sum(c).alias(c) for c in whole])
         return rolled.withColumn("result", classify([(F.abs("receivable_difference") <= MONEY, "店铺月度应收一致"), (F.abs("cash_difference") <= MONEY, "店铺月度实收一致")], "店铺月度差异"))
 
     @cached_property

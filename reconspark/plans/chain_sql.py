@@ -156,7 +156,7 @@ STEPS = {
         from bill_material_month h full outer join o on h.bill_month = o.bill_month and h.customer_code = o.customer_code and h.material_code = o.material_code""",
     "bill_oms_shop_recon": f"""
         select *, case when abs(receivable_difference) <= 1 then '店铺月度应收一致' when abs(cash_difference) <= 1 then '店铺月度实收一致' else '店铺月度差异' end as result from (
-            select bill_month, platform, bill_shop, customer_code, customer_name, mapping_status, {', '.join(f'round(sum({c}), 3) as {c}' for c in ('bill_receivable', 'bill_cash', 'receivable_difference', 'cash_difference'))},
+            select bill_month, platform, bill_shop, customer_code, customer_name, mapping_status, {', '.join(f'cast(sum(cast({c} as decimal(28, 4))) as double) as {c}' for c in ('bill_receivable', 'bill_cash', 'receivable_difference', 'cash_difference'))},
                 {', '.join(s(c) for c in ('bridge_qty', 'oms_qty', 'oms_amount', 'mapped_orders', 'bill_rows', 'oms_docs'))} from bill_oms_item_recon group by 1, 2, 3, 4, 5, 6)""",
     "bridge_coverage": f"""
         with a as (select count(*) as order_months, {s('bill_receivable', 'receivable')}, {s('bill_cash', 'cash')} from bill_order_month),
