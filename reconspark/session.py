@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import atexit
 import os
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -28,6 +30,18 @@ def build_session(app: str = "reconspark", cores: int | str = "*", **conf: str)
     return spark
 
 
+def ship(spark: SparkSession) -> None:
+    """Sends this package to the executors' Python once per application, so that it need not be installed there."""
+    sc = spark.sparkContext
+    if getattr(sc, "_reconspark_shipped", False):
+        return
+    package = Path(__file__).resolve().parent
+    own = tempfile.mkdtemp(prefix="reconspark-")  # on the driver, which serves the archive until it ends
+    atexit.register(shutil.rmtree, own, ignore_errors=True)
+    sc.addPyFile(shutil.make_archive(f"{own}/reconspark_package", "zip", package.parent, package.name))
+    sc._reconspark_shipped = True
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share, as the session names it in spark.checkpoint.dir.
 
