@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reconspark.functions.text import SPACE, _col, half_width, is_blank
+from reconspark.session import staged
 
 _CLOCK = r"(?:[ t,]*(上午|下午)?\s*(\d{1,2})[:时](\d{1,2})(?:[:分](\d{1,2})(?:[.,](\d+))?秒?)?\s*([ap]m)?)?$"
 _YMD = r"^(\d{4})[-/.年](\d{1,2})[-/.月](\d{1,2})日?" + _CLOCK
@@ -110,30 +111,29 @@ def with_instant(df: DataFrame, text: str, zone: str, date_order: str, into: str
     the clock skipped is read with the offset before the change, a date is its 00:00. Null, blank, unreadable and
     impossible texts, and local texts without any zone, give null. The row count never changes.
     """
-    temp = ["__text", "__zone", "__body", "__part", "__serial"]
-    df = _settled(df, __text=F.when(~is_blank(text), _tidy(text)))
-    df = _with_zone(df, "__text", "__zone", "__body")
-    df = _settled(df, __part=F.split(_fields(F.col("__body"), F.col(date_order)), r"\|", -1), __serial=_local_ms(F.col("__body")))
+    temp = ["__m_text", "__m_zone", "__m_body", "__m_part", "__m_serial"]
+    df = _settled(df, __m_text=F.when(~is_blank(text), _tidy(text)))
+    df = _with_zone(df, "__m_text", "__m_zone", "__m_body")
+    df = _settled(df, __m_part=F.split(_fields(F.col("__m_body"), F.col(date_order)), r"\|", -1), __m_serial=_local_ms(F.col("__m_body")))
 
-    part = lambda k: F.col("__part")[k]
+    part = lambda k: F.col("__m_part")[k]
     name_at = F.position(F.substring(part(1), 1, 3), F.lit(_MONTHS))
-    month = F.when(part(1).rlike(r"^\d+$"), part(1).try_cast("int")).when(name_at % 3 == 1, F.floor((name_at + 2) / 3).cast("int"))
+    month = F.when(part(1).rlike(r"^\d"), part(1).try_cast("int")).when(name_at % 3 == 1, F.floor((name_at + 2) / 3).cast("int"))
     hour, half = F.coalesce(part(4).try_cast("int"), F.lit(0)), part(3)
-    hour = F.when(half.isin("下午", "pm") & (hour < 12), hour + 12).when(half.isin("上午", "am") & (hour == 12), 0).otherwise(hour)
-    whole = F.coalesce(part(6).try_cast("int"), F.lit(0))
-    second = F.concat(whole.cast("string"), F.lit("."), F.substring(F.concat(part(7), F.lit("000000")), 1, 6)).try_cast("decimal(8,6)")
-    where = F.coalesce(F.col("__zone"), F.col(zone))
-    read = F.try_make_timestamp(part(0).try_cast("int"), month, part(2).try_cast("int"), hour, F.coalesce(part(5).try_cast("int"), F.lit(0)), second, where)
-    day_ms = F.lit(86_400_000)
-    days, rest = F.floor(F.col("__serial") / day_ms).cast("int"), F.pmod(F.col("__serial"), day_ms)
-    day = F.date_add(F.lit("1970-01-01").cast("date"), days)
-    sheet = F.try_make_timestamp(
-        F.year(day), F.month(day), F.dayofmonth(day), F.floor(rest / 3_600_000).cast("int"), F.floor(rest % 3_600_000 / 60_000).cast("int"), (rest % 60_000 / 1000).cast("decimal(8,6)"), F.col(zone)
-    )
-    micros = F.unix_micros(F.when(F.col("__serial").isNotNull(), sheet).when((hour < 24) & (whole < 60), read))
-    rounded = F.floor((micros + 500) / 1000).cast("long")
-    epoch = F.when(F.col("__body").rlike(r"^\d{13}$"), F.col("__body").try_cast("long")).when(F.col("__body").rlike(r"^\d{10}$"), F.col("__body").try_cast("long") * 1000)
-    return _settled(df, **{into: F.coalesce(epoch, rounded)}).drop(*temp)
+    hour = F.when(half == "", hour).when(half.isin("下午", "pm") & (hour < 12), hour + 12).when(half.isin("上午", "am") & (hour == 12), 0).otherwise(hour)
+    df = _settled(df, __m_y=part(0).try_cast("int"), __m_mo=month, __m_d=part(2).try_cast("int"), __m_h=hour)
+    fraction = F.when(part(7) == "", F.lit("0")).otherwise(F.substring(part(7), 1, 6))
+    df = _settled(df, __m_mi=F.coalesce(part(5).try_cast("int"), F.lit(0)), __m_s=F.concat(F.coalesce(F.nullif(part(6), F.lit("")), F.lit("0")), F.lit("."), fraction).try_cast("decimal(8,6)"), __m_where=F.coalesce("__m_zone", zone))
+    # A spreadsheet serial is taken apart into the same fields; its zone is the file's.
+    rest, day = F.pmod("__m_serial", F.lit(86_400_000)), F.date_add(F.lit("1970-01-01").cast("date"), F.floor(F.col("__m_serial") / 86_400_000).cast("int"))
+    sheet = F.try_make_timestamp(F.year(day), F.month(day), F.dayofmonth(day), F.floor(rest / 3_600_000).cast("int"), F.floor(rest % 3_600_000 / 60_000).cast("int"), (rest % 60_000 / 1000).cast("decimal(8,6)"), F.col(zone))
+    df = _settled(df, __m_sheet=F.when(F.col("__m_serial").isNotNull(), sheet))
+    fits = F.col("__m_y").isNotNull() & (F.col("__m_h") < 24) & (F.col("__m_s") < 60)
+    df = _settled(df, __m_read=F.when(fits, F.try_make_timestamp("__m_y", "__m_mo", "__m_d", "__m_h", "__m_mi", "__m_s", "__m_where")))
+    rounded = F.floor((F.unix_micros(F.coalesce("__m_sheet", "__m_read")) + 500) / 1000).cast("long")
+    digits = F.when(F.col("__m_body").rlike(r"^(\d{10}|\d{13})$"), F.col("__m_body").try_cast("long"))
+    epoch = F.when(digits < 10**11, digits * 1000).otherwise(digits)
+    return _settled(df, **{into: F.coalesce(rounded, epoch)}).drop(*temp, "__m_y", "__m_mo", "__m_d", "__m_h", "__m_mi", "__m_s", "__m_where", "__m_sheet", "__m_read")
 
 
 def estimate_zones(rows: DataFrame, group: str, text: str, ingested: str, date_order: str, candidates: tuple[str, ...] = CANDIDATE_ZONES) -> DataFrame:
@@ -174,10 +174,13 @@ def instants(rows: DataFrame, files: DataFrame, key: str, fields: tuple[str, ...
     exported_at). A file without tz_name, or not described, gets the zone that estimate_zones finds for it.
     """
     files = files.select("source_file", F.col("tz_name").alias("__tz"), F.col("date_order").alias("__order"), F.col("exported_at").alias("__exported")).dropDuplicates(["source_file"])
-    long = rows.select(key, "source_file", F.explode(F.array(*[F.struct(F.lit(f).alias("f"), F.col(f).cast("string").alias("v")) for f in fields])).alias("__x"))
-    long = long.select(key, "source_file", F.col("__x.f").alias("field_name"), F.col("__x.v").alias("__v")).where(~is_blank("__v"))
-    long = long.join(files, "source_file", "left")
-    unknown = long.where(F.col("__tz").isNull())
-    guessed = estimate_zones(unknown, "source_file", "__v", "__exported", "__order").select("source_file", F.col("zone").alias("__guess"))
-    long = long.join(guessed, "source_file", "left").withColumn("__where", F.coalesce("__tz", "__guess"))
+    known = rows.select(key, "source_file", *[F.col(f).cast("string").alias(f) for f in fields]).join(files, "source_file", "left")
+
+    def tall(df: DataFrame) -> DataFrame:
+        x = F.explode(F.array(*[F.struct(F.lit(f).alias("field_name"), F.col(f).alias("__v")) for f in fields]))
+        return df.select(key, "source_file", "__tz", "__order", "__exported", x.alias("__x")).select("*", "__x.*").drop("__x")
+
+    # Staged, the estimates are a table of known size (one row a file), so that no row is shuffled to meet them.
+    guessed = staged(estimate_zones(tall(known.where("__tz is null")), "source_file", "__v", "__exported", "__order").select("source_file", F.col("zone").alias("__guess")), "file-zones")
+    long = tall(known).join(guessed, "source_file", "left").withColumn("__where", F.coalesce("__tz", "__guess"))
     return with_instant(long, "__v", "__where", "__order").where("utc_ms is not null").select(F.lit(table_name).alias("table_name"), key, "field_name", "utc_ms")
