@@ -66,19 +66,29 @@ def trie_pairs(names: list[str], queries: list[str], distance: int = DISTANCE) -
 
 
 def _neighbours(cores: DataFrame) -> DataFrame:
-    """(block, brand, other) of brands that are spellings of one another, from tries of bounded size."""
-    sizes = cores.groupBy("block").agg(F.ceil(F.count(F.lit(1)) / SHARD_NAMES).cast("int").alias("__s"))
-    own = cores.select("block", "brand").join(sizes, "block").withColumn("__h", F.pmod(F.xxhash64("brand"), F.col("__s")).cast("int"))
+    """(block, brand, other) of brands that are spellings of one another, from tries of bounded size.
+
+    Two spellings of one brand share at least two characters, so a trie holds the brands of one block and one character
+    and is asked by that character's brands only; a pair is kept in the trie of its smallest shared character. A
+    character with more than SHARD_NAMES brands has several tries, and each is asked in parts of that size.
+    """
+    own = cores.select("block", "brand", F.explode(F.array_distinct(F.split("brand", ""))).alias("letter"))
+    sizes = own.groupBy("block", "letter").agg(F.ceil(F.count(F.lit(1)) / SHARD_NAMES).cast("int").alias("__s"))
+    own = own.join(sizes, ["block", "letter"]).withColumn("__h", F.pmod(F.xxhash64("brand"), F.col("__s")).cast("int"))
     every = F.sequence(F.lit(0), F.col("__s") - 1)
-    built = own.select("block", "brand", F.lit(0).alias("side"), F.col("__h").alias("trie"), F.explode(every).alias("part"))
-    asked = own.select("block", "brand", F.lit(1).alias("side"), F.explode(every).alias("trie"), F.col("__h").alias("part"))
+    key = ["block", "letter", "trie", "part"]
+    built = own.select("block", "letter", "brand", F.lit(0).alias("side"), F.col("__h").alias("trie"), F.explode(every).alias("part"))
+    asked = own.select("block", "letter", "brand", F.lit(1).alias("side"), F.explode(every).alias("trie"), F.col("__h").alias("part"))
 
     def join(group: pd.DataFrame) -> pd.DataFrame:
         names, queries = (group.loc[group["side"] == s, "brand"].tolist() for s in (0, 1))
-        pairs = [(q, n) for q, n in trie_pairs(names, queries) if same_brand(q, n)]
+        letter = group["letter"].iloc[0]
+        pairs = [(q, n) for q, n in trie_pairs(names, queries) if same_brand(q, n) and letter == min(set(q) & set(n))]
         return pd.DataFrame({"block": group["block"].iloc[0], "brand": [q for q, _ in pairs], "other": [n for _, n in pairs]}, dtype=object)
 
-    return built.unionByName(asked).groupBy("block", "trie", "part").applyInPandas(join, "block string, brand string, other string")
+    # The rows are small but each costs a walk: the number of tasks follows the cores, not the bytes.
+    tasks = 3 * cores.sparkSession.sparkContext.defaultParallelism
+    return built.unionByName(asked).repartition(tasks, *key).groupBy(*key).applyInPandas(join, "block string, brand string, other string")
 
 
 def spelling_classes(texts: DataFrame, nicknames: DataFrame | None = None) -> DataFrame:
