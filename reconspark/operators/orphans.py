@@ -6,20 +6,26 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+def heavy_keys(counted: DataFrame, key: str, count: str, at_least: int) -> DataFrame:
+    """Keys with more than `at_least` rows and more than a thousandth of all rows: at most a thousand, by arithmetic."""
+    total = counted.agg(F.sum(count).alias("__all"))
+    return counted.crossJoin(F.broadcast(total)).where((F.col(count) > at_least) & (F.col(count) * 1000 > F.col("__all"))).select(key)
+
+
 def orphans(refs: DataFrame, targets: DataFrame, heavy_at: int = 10_000) -> DataFrame:
     """The rows of `refs` (ref_key, and any payload) whose ref_key is not in `targets` (target_key).
 
-    References are counted per key first. A key with more than `heavy_at` references is heavy: there are at most
-    rows / heavy_at of them, they are checked once each against the targets and their verdict goes back to the rows
-    by a broadcast while that list is small (the session's threshold decides). All other keys go through a
-    shuffled anti-join, in which no key has more than `heavy_at` rows. Null keys are no references.
+    References are counted per key first. Keys with more than `heavy_at` references and a thousandth of all are
+    heavy: at most a thousand, so they may be broadcast. They are checked once each against the targets, and their
+    verdict meets the rows without a shuffle. All other keys go through a shuffled anti-join, which no heavy key
+    reaches. Null keys are no references.
     """
-    counted = refs.where("ref_key is not null").groupBy("ref_key").agg(F.count(F.lit(1)).alias("__n"))
-    heavy = counted.where(F.col("__n") > heavy_at).select("ref_key")
+    refs = refs.where("ref_key is not null")
+    heavy = heavy_keys(refs.groupBy("ref_key").agg(F.count(F.lit(1)).alias("__n")), "ref_key", "__n", heavy_at)
     known = targets.select(F.col("target_key").alias("ref_key")).where("ref_key is not null")
-    heavy_missing = heavy.join(known.join(heavy, "ref_key", "left_semi").distinct(), "ref_key", "left_anti")
-    of_heavy = refs.join(heavy_missing, "ref_key", "left_semi")
-    of_light = refs.where("ref_key is not null").join(heavy, "ref_key", "left_anti").join(known.distinct(), "ref_key", "left_anti")
+    heavy_missing = heavy.join(known.join(F.broadcast(heavy), "ref_key", "left_semi").distinct(), "ref_key", "left_anti")
+    of_heavy = refs.join(F.broadcast(heavy_missing), "ref_key", "left_semi")
+    of_light = refs.join(F.broadcast(heavy), "ref_key", "left_anti").join(known.distinct(), "ref_key", "left_anti")
     return of_heavy.unionByName(of_light)
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reconspark.functions.text import _col, half_width, number_blank, squeeze, trimmed_key
+from reconspark.functions.text import _col, half_width, is_blank, number_blank, squeeze, trimmed_key
 
 #: Unit aliases (lower case, half width), canonical unit, base, factor to the base, offset.
 #: Chinese customary units at their present legal value, foreign ones at the international avoirdupois value.
@@ -124,7 +124,7 @@ def to_base_units(rows: DataFrame, specs: DataFrame, key: str = "row_id") -> Dat
     facts = facts.where("a <=> b").select("__m", F.col("a.base_unit").alias("base_unit"), F.col("a.count_unit").alias("count_unit"), F.map_from_entries("a.sizes").alias("sizes"))
 
     own = rows.select(F.col(key), trimmed_key("material_key").alias("__m"), F.col("unit").alias("__unit"), F.col("quantity").alias("__q")).where(~number_blank("__q"))
-    own = own.withColumn("__text", F.coalesce(_tidy("__unit"), F.lit("")))
+    own = own.withColumn("__text", F.when(is_blank("__unit"), F.lit("")).otherwise(_tidy("__unit")))
     number = F.regexp_extract("__text", r"(?<![\d.])(\d++(?:\.\d++)?)([^\d/()]+?)装?(?:$|[/()]|(?<=装)\D)", 1)
     inner = F.regexp_extract("__text", r"(?<![\d.])(\d++(?:\.\d++)?)([^\d/()]+?)(?:装\D*$|$|[/()])", 2)
     own = own.withColumn("__n", F.coalesce(number.try_cast("decimal(20,6)"), F.lit(1).cast("decimal(20,6)")))

@@ -12,7 +12,7 @@ from reconspark.operators import dedup, rollup
 from reconspark.operators.allocate import pro_rata
 from reconspark.operators.differences import difference_summary, differences
 from reconspark.operators.matching import best_match, bridge_vote, cosine, graded, sequence_ratio
-from reconspark.operators.orphans import orphan_report, orphans
+from reconspark.operators.orphans import heavy_keys, orphan_report, orphans
 from reconspark.operators.recon import classify, exception_first, two_sided, within
 
 
@@ -139,6 +139,8 @@ def test_orphans_split_heavy_keys(spark):
     refs = spark.createDataFrame([(i, "hot" if i % 3 else "hot2", "f", "m1") for i in range(90)] + [(100, "x", "f", "m1"), (101, "y", "f", None), (102, None, "f", "m1")], "row_id long, ref_key string, ref_field string, file_month string")
     known = spark.createDataFrame([("hot", "f"), ("hot", "f"), ("x", "f"), (None, "f")], "target_key string, ref_field string")
     want = {i for i in range(90) if i % 3 == 0} | {101}
+    counted = refs.where("ref_key is not null").groupBy("ref_key").count()
+    assert {r.ref_key for r in heavy_keys(counted, "ref_key", "count", 5).collect()} == {"hot", "hot2"}
     for heavy_at in (5, 10_000):
         assert {r.row_id for r in orphans(refs, known, heavy_at).collect()} == want
     assert {(r.file_month, r.reference_count, r.orphan_count) for r in orphan_report(refs, known).collect()} == {("m1", 91, 30), (None, 1, 1)}

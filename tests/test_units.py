@@ -13,7 +13,7 @@ SPECS = [
 CASES = [
     ("S1", "箱", 1.0, 2400000), ("s1 ", "整箱", 2.0, 4800000), ("SKU:P1", "4盒装箱", 1.0, 400000), ("S1", "箱（10盒装）", 0.5, 500000), ("S1", "g", 5.0, None),
     ("S1", "G", 5.0, 5000), ("S1", "市斤", 1.0, 500000), ("S1", "lb", 0.27, 122470), ("S1", "ml", 5.0, None), ("S1", "", 5.0, None), ("S1", "桶", 5.0, None),
-    ("S2", "罐(250毫升)", 2.0, 500000), ("S2", "0.3L", 1.0, 300000), ("S2", "ctn", 1.0, 26400000), ("S3", None, 1.0, 40000000), ("S4", " ", 1.0, 2000000),
+    ("S2", "罐(250毫升)", 2.0, 500000), ("S2", "0.3L", 1.0, 300000), ("S2", "ctn", 1.0, 26400000), ("S3", None, 1.0, 40000000), ("S4", " ", 1.0, 2000000), ("S4", "N/A", 1.0, 2000000),
     ("S5", "板", 2.0, 12000), ("S5", "打", 1.0, 12000), ("S5", "", 1.0, 6000), ("S6", "kg", 0.0005, 500), ("S6", "箱", 1.0, None), ("nope", "kg", 1.0, None),
     ("S1", "mg", 0.5, 1), ("S1", "mg", -0.5, -1), ("S1", "kg", None, None), ("S1", "kg", float("nan"), None), (None, "kg", 1.0, None), ("S1", "x" * 40000, 1.0, None),
 ]
