@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from reconspark.functions.text import is_blank, number_blank
+from reconspark.operators.orphans import heavy_keys
 
 
 def field_blank(df: DataFrame, field: str) -> Column:
@@ -21,8 +22,9 @@ def survivors(rows: DataFrame, key: str, row_id: str, fields: tuple[str, ...], t
 
     Rows are ranked in a window by completeness of the field, trust (small is best, null last), recency (late is
     best, null last) and row_id (large is best), so that the order is total and ties cannot occur. Groups with more
-    than `hot_at` rows are split over `salts` window partitions, each keeps its winners, and one aggregation ranks
-    the winners of the parts; a part's size falls as `salts` grows, and no group is ever gathered whole. Null keys
+    than `hot_at` rows and a thousandth of all (at most a thousand groups, hence broadcast) are split over `salts`
+    window partitions, each keeps its winners, and one aggregation ranks the winners of the parts; a part's size
+    falls as `salts` grows, and no such group is ever gathered whole. Null keys
     form no group. Repeated row_ids count as rows of their own and name the same row.
     """
     ranked = rows.select(
@@ -31,8 +33,8 @@ def survivors(rows: DataFrame, key: str, row_id: str, fields: tuple[str, ...], t
         *[field_blank(rows, f).alias(f"__blank_{i}") for i, f in enumerate(fields)],
     ).where("__k is not null")
     sizes = ranked.groupBy("__k").agg(F.count(F.lit(1)).alias("__n")).where("__n > 1")
-    hot = sizes.where(F.col("__n") > hot_at).select("__k", F.lit(salts).alias("__salts"))
-    ranked = ranked.join(hot, "__k", "left").withColumn("__salt", F.when(F.col("__salts").isNotNull(), F.pmod(F.xxhash64("__id"), F.lit(salts))).otherwise(0))
+    hot = heavy_keys(sizes, "__k", "__n", hot_at).select("__k", F.lit(salts).alias("__salts"))
+    ranked = ranked.join(F.broadcast(hot), "__k", "left").withColumn("__salt", F.when(F.col("__salts").isNotNull(), F.pmod(F.xxhash64("__id"), F.lit(salts))).otherwise(0))
     part = W.partitionBy("__k", "__salt").orderBy(F.desc("__trust"), F.desc("__late"), F.desc("__id"))
     whole = part.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
     place = F.struct("__trust", "__late", F.col("__id").alias("id"))
