@@ -27,8 +27,9 @@ KNOTS = 50
 
 _HAN = "一-鿿㐀-䶿"
 _BREAK = r"[。！？!?\n\r]+|\.(?=\s|$)"
-#: Addresses and codes; possessive and only from the start of a run, so that long runs cost linear time.
-_CODES = r"https?:\S+|(?<!\S)[^\s@]++@\S+|(?<![A-Za-z])[A-Za-z]++\d\w*"
+#: Addresses and codes, of address characters only: Chinese prose and a closing stop beside them stay. Possessive and only
+#: from the start of a run of such characters, so that long runs cost linear time.
+_CODES = r"https?:[!-~]*[!-~&&[^.,:;!?]]|(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9.-]*[A-Za-z0-9]|(?<![A-Za-z])[A-Za-z]++\d\w*"
 #: Openings of header and quotation lines, which are no prose.
 _HEADER = r"^\s*(主题|主旨|[Ss]ubject|[Rr]e\b|Ref\b|>|\[)"
 

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from reconspark.llm.reading import reading_levels
+from reconspark.llm.reading import document_words, reading_levels
 
 DATA = "/root/testdata/sf0.1"
 
@@ -28,3 +28,17 @@ def test_odd_tables(spark):
     assert set(got) == {1, 5} and all(1 <= v <= 5 for v in got.values())
     assert reading_levels(docs, labels.limit(0)).count() == 0
     assert reading_levels(docs.limit(0), labels).count() == 0
+
+
+def test_prose_beside_addresses_stays(spark):
+    first, second = "她买了新的袋子。", "我们退了旧的货物。"
+    texts = {
+        1: first + second, 2: first + second + "ops@mail.example.invalid", 3: "ops@mail.example.invalid" + first + second, 4: first + "ops@mail.example.invalid" + second,
+        5: first + "https://a.example/b?c=1" + second, 6: first + "a" * 100 + ".b@mail.example.invalid，" + second,
+        7: "The man wrote to a@b.example. The man saw https://a.example/b. The man left now.", 8: "The man wrote to  . The man saw  . The man left now.",
+        9: first + second + "a@" * 50_000, 10: first + second + "." * 100_000 + "@", 11: first + second + "http:" + "!" * 100_000,
+    }
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = {r.doc_id: (sorted(r.words), sorted(r.lengths)) for r in document_words(docs, spark.createDataFrame([], "doc_id long, rater string, reading_level int")).collect()}
+    assert set(got) == set(texts)
+    assert all(got[i] == got[1] for i in (2, 3, 4, 5, 6)) and got[7] == got[8]
