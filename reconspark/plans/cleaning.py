@@ -29,7 +29,9 @@ def p1_zones(spark: SparkSession, d: str) -> DataFrame:
     files = table(spark, d, "export_file")
     names = files.select("source_file", "exported_at", "date_order", F.col("tz_name").alias("declared")).dropDuplicates(["source_file"])
     texts = table(spark, d, "wdt_orders_file").select("source_file", F.col("ship_time").alias("t"))
-    texts = texts.unionAll(table(spark, d, "huice_detail").select("source_file", F.col("business_date").alias("t")))
+    bills = table(spark, d, "huice_detail")
+    for field in ("business_date", "period_end"):
+        texts = texts.unionAll(bills.select("source_file", F.col(field).alias("t")))
     rows = texts.join(names, "source_file")
     found = estimate_zones(rows, "source_file", "t", "exported_at", "date_order", CANDIDATE_ZONES)
     return found.join(names.select("source_file", "declared"), "source_file")

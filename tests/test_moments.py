@@ -125,3 +125,16 @@ def test_empty_tables(spark, tiny):
     rows = spark.read.parquet(f"{tiny}/wdt_orders_file.parquet")
     assert instants(rows.limit(0), files, "row_id", ("ship_time",), "t").count() == 0
     assert instants(rows.limit(5), files.limit(0), "row_id", ("ship_time",), "t").columns == ["table_name", "row_id", "field_name", "utc_ms"]
+
+
+def test_zones_of_all_dealt_fields(spark, tmp_path):
+    from reconspark.plans.cleaning import p1_zones
+
+    files = spark.createDataFrame([(f, None, "ymd", "2025-12-20 00:00:00") for f in ("a", "b")], "source_file string, tz_name string, date_order string, exported_at string").withColumn("exported_at", F.col("exported_at").cast("timestamp_ntz"))
+    summer, winter = "2025-10-{:02d} 10:00:00+02:00", "2025-11-{:02d} 10:00:00+01:00"
+    bills = [("a", b, t.format(k)) for t in (summer, winter) for k in range(1, 20) for b in (None, "########")] + [("b", t.format(k), None) for t in (summer, winter) for k in range(1, 20)]
+    files.write.parquet(f"{tmp_path}/export_file.parquet")
+    spark.createDataFrame(bills, "source_file string, business_date string, period_end string").write.parquet(f"{tmp_path}/huice_detail.parquet")
+    spark.createDataFrame([], "source_file string, ship_time string").write.parquet(f"{tmp_path}/wdt_orders_file.parquet")
+    got = {r.source_file: (r.zone, r.violations, r.evidence) for r in p1_zones(spark, str(tmp_path)).collect()}
+    assert got == {"a": ("Europe/Berlin", 0, 76), "b": ("Europe/Berlin", 0, 38)}
