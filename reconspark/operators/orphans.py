@@ -29,9 +29,11 @@ def orphans(refs: DataFrame, targets: DataFrame, heavy_at: int = 10_000) -> Data
     return of_heavy.unionByName(of_light)
 
 
-def orphan_report(refs: DataFrame, targets: DataFrame, heavy_at: int = 10_000) -> DataFrame:
+def orphan_report(refs: DataFrame, targets: DataFrame) -> DataFrame:
     """ref_field, file_month, references, orphans: counted per field, period and key before the keys are checked.
 
+    A key then has one row a period however many references it has, so the counts meet the targets in a plain join.
+
     `refs` has ref_field, file_month and ref_key (null keys are no references); `targets` ref_field and target_key.
     """
     counted = refs.where("ref_key is not null").groupBy("ref_field", "file_month", "ref_key").agg(F.count(F.lit(1)).alias("__n"))

@@ -1,6 +1,7 @@
 """Operators on hand-written rows: one case for each outcome, nulls, ties, empty tables and clashing names."""
 
 import difflib
+import inspect
 
 import pytest
 from pyspark.sql import functions as F
@@ -147,3 +148,10 @@ def test_orphans_split_heavy_keys(spark):
     assert orphans(refs, known.limit(0)).count() == 92 and orphans(refs.limit(0), known).count() == 0
 
 
+
+
+def test_orphan_report_counts_hot_keys_a_period(spark):
+    refs = spark.range(30_000).select(F.lit("f").alias("ref_field"), F.concat(F.lit("m"), F.col("id") % 3).alias("file_month"), F.when(F.col("id") % 2 == 0, "hot").otherwise("lost").alias("ref_key"))
+    known = spark.createDataFrame([("hot", "f"), ("lost", "g")], "target_key string, ref_field string")
+    assert {(r.file_month, r.reference_count, r.orphan_count) for r in orphan_report(refs, known).collect()} == {(f"m{k}", 10_000, 5_000) for k in range(3)}
+    assert list(inspect.signature(orphan_report).parameters) == ["refs", "targets"]  # one plain join: no split to set
