@@ -60,9 +60,9 @@ def typed_key(c: Column | str) -> Column:
     bare = F.upper(squeeze(half_width(c)))
     bare = F.regexp_replace(bare, "^=(?=" + QUOTE + ")", "")
     bare = F.regexp_replace(bare, QUOTE, "")
-    return F.when(_col(c).rlike("^[0-9A-Z_-]{5,}+$"), _col(c)).when(is_blank(c) | (bare == ""), F.lit(None)).otherwise(bare)
+    return F.when(_col(c).rlike(r"^[0-9A-Z_-]{5,}+\z"), _col(c)).when(is_blank(c) | (bare == ""), F.lit(None)).otherwise(bare)
 
 
 def trimmed_key(c: Column | str) -> Column:
     """A key apart from letter case and outer white space; null if blank."""
-    return F.when(_col(c).rlike("^[0-9A-Z:_-]{5,}+$"), _col(c)).when(is_blank(c), F.lit(None)).otherwise(F.upper(strip(c)))
+    return F.when(_col(c).rlike(r"^[0-9A-Z:_-]{5,}+\z"), _col(c)).when(is_blank(c), F.lit(None)).otherwise(F.upper(strip(c)))

@@ -155,3 +155,9 @@ def test_orphan_report_counts_hot_keys_a_period(spark):
     known = spark.createDataFrame([("hot", "f"), ("lost", "g")], "target_key string, ref_field string")
     assert {(r.file_month, r.reference_count, r.orphan_count) for r in orphan_report(refs, known).collect()} == {(f"m{k}", 10_000, 5_000) for k in range(3)}
     assert list(inspect.signature(orphan_report).parameters) == ["refs", "targets"]  # one plain join: no split to set
+
+
+def test_keys_before_a_last_line_break(spark):
+    df = spark.createDataFrame([(v,) for v in ("ABC12", "ABC12\n", "ABC12\r\n", "ABC12\u0085", "ABC12\u2028")], "v string")
+    for key in (typed_key, trimmed_key):
+        assert [r[0] for r in df.select(key("v")).collect()] == ["ABC12"] * 5
