@@ -161,3 +161,13 @@ def test_keys_before_a_last_line_break(spark):
     df = spark.createDataFrame([(v,) for v in ("ABC12", "ABC12\n", "ABC12\r\n", "ABC12\u0085", "ABC12\u2028")], "v string")
     for key in (typed_key, trimmed_key):
         assert [r[0] for r in df.select(key("v")).collect()] == ["ABC12"] * 5
+
+
+def test_exceptions_first_over_a_whole_reconciliation(spark, tiny):
+    from reconspark.plans.chain import Chain
+
+    rows = Chain(spark, tiny).order_bill_recon.select("platform_order_no", "result")
+    got = [(r.result == "单号金额一致", r.result, r.platform_order_no) for r in exception_first(rows, ["单号金额一致"], "platform_order_no").collect()]
+    assert len(got) == rows.count() and len({ok for ok, _, _ in got}) == 2
+    assert [ok for ok, _, _ in got] == sorted(ok for ok, _, _ in got)
+    assert got == sorted(got, key=lambda r: (r[0], r[1].encode(), (r[2] or "").encode()))
