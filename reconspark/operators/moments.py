@@ -107,7 +107,7 @@ def with_instant(df: DataFrame, text: str, zone: str, date_order: str, into: str
 
     Forms: year-first, day- or month-first by `date_order` (ymd, dmy, mdy), month names, twelve-hour clocks
     (AM/PM, 上午/下午), packed digits, epoch seconds and milliseconds, spreadsheet serials, full-width characters.
-    A zone in the text wins over the column `zone`. A local time that occurs twice is the earlier instant, one that
+    A zone in the text wins over the column `zone`. 24:00:00 is 0:00 of the next day. A local time that occurs twice is the earlier instant, one that
     the clock skipped is read with the offset before the change, a date is its 00:00. Null, blank, unreadable and
     impossible texts, and local texts without any zone, give null. The row count never changes.
     """
@@ -128,12 +128,17 @@ def with_instant(df: DataFrame, text: str, zone: str, date_order: str, into: str
     rest, day = F.pmod("__m_serial", F.lit(86_400_000)), F.date_add(F.lit("1970-01-01").cast("date"), F.floor(F.col("__m_serial") / 86_400_000).cast("int"))
     sheet = F.try_make_timestamp(F.year(day), F.month(day), F.dayofmonth(day), F.floor(rest / 3_600_000).cast("int"), F.floor(rest % 3_600_000 / 60_000).cast("int"), (rest % 60_000 / 1000).cast("decimal(8,6)"), F.col(zone))
     df = _settled(df, __m_sheet=F.when(F.col("__m_serial").isNotNull(), sheet))
+    midnight = (F.col("__m_h") == 24) & (F.col("__m_mi") == 0) & (F.col("__m_s") == 0) & (half == "")
+    after = F.date_add(F.try_make_timestamp_ntz("__m_y", "__m_mo", "__m_d", F.lit(0), F.lit(0), F.lit(0)).cast("date"), 1)
+    df = _settled(df, __m_next=F.when(midnight, after))
+    late = F.col("__m_next").isNotNull()
+    df = df.withColumns({"__m_y": F.when(late, F.year("__m_next")).otherwise(F.col("__m_y")), "__m_mo": F.when(late, F.month("__m_next")).otherwise(F.col("__m_mo")), "__m_d": F.when(late, F.dayofmonth("__m_next")).otherwise(F.col("__m_d")), "__m_h": F.when(late, 0).otherwise(F.col("__m_h"))})
     fits = F.col("__m_y").isNotNull() & (F.col("__m_h") < 24) & (F.col("__m_s") < 60)
     df = _settled(df, __m_read=F.when(fits, F.try_make_timestamp("__m_y", "__m_mo", "__m_d", "__m_h", "__m_mi", "__m_s", "__m_where")))
     rounded = F.floor((F.unix_micros(F.coalesce("__m_sheet", "__m_read")) + 500) / 1000).cast("long")
     digits = F.when(F.col("__m_body").rlike(r"^(\d{10}|\d{13})$"), F.col("__m_body").try_cast("long"))
     epoch = F.when(digits < 10**11, digits * 1000).otherwise(digits)
-    return _settled(df, **{into: F.coalesce(rounded, epoch)}).drop(*temp, "__m_y", "__m_mo", "__m_d", "__m_h", "__m_mi", "__m_s", "__m_where", "__m_sheet", "__m_read")
+    return _settled(df, **{into: F.coalesce(rounded, epoch)}).drop(*temp, "__m_y", "__m_mo", "__m_d", "__m_h", "__m_mi", "__m_s", "__m_where", "__m_sheet", "__m_read", "__m_next")
 
 
 def estimate_zones(rows: DataFrame, group: str, text: str, ingested: str, date_order: str, candidates: tuple[str, ...] = CANDIDATE_ZONES) -> DataFrame:

@@ -32,6 +32,13 @@ def brute(text, zone, order):
     if re.fullmatch(r"\d{10}", t):
         return int(t) * 1000
     tz = ZoneInfo(zone)
+    if m := re.search(r"24[:时]00([:分]00秒?)?$|24时00分00秒$|240000$", t):
+        start = brute(t[: m.start()] + m[0].replace("24", "00", 1), zone, order)
+        if start is None:
+            return None
+        # The clock's next midnight, which is not 24 hours later where the clocks change.
+        local = datetime.fromtimestamp(start / 1000, tz).replace(tzinfo=None) + timedelta(days=1)
+        return to_ms(local, tz)
     if re.fullmatch(r"\d{5}(\.\d+)?", t):
         ms = int((Decimal(t) * 86_400_000).to_integral_value(ROUND_HALF_UP))
         return to_ms(datetime(1899, 12, 30) + timedelta(milliseconds=ms), tz)
@@ -92,7 +99,15 @@ CASES = [
     ("2025-10-06 10:00:00", None, "ymd", None),
     ("2025-10-06T10:00:00Z", None, "ymd", "2025-10-06 10:00:00"),
     ("45950.5", "Asia/Shanghai", "ymd", "2025-10-20 04:00:00"),
-    ("2025-10-06 24:00:00", "UTC", "ymd", None),
+    ("2025-10-06 24:00:00", "UTC", "ymd", "2025-10-07 00:00:00"),
+    ("2025-10-25 24:00", "Europe/Berlin", "ymd", "2025-10-25 22:00:00"),
+    ("2026-03-29 24:00:00", "Europe/Berlin", "ymd", "2026-03-29 22:00:00"),
+    ("20251231240000", "Asia/Shanghai", "ymd", "2025-12-31 16:00:00"),
+    ("31/12/2025 24:00:00", "UTC", "dmy", "2026-01-01 00:00:00"),
+    ("2025年12月31日 24时00分00秒", "UTC", "ymd", "2026-01-01 00:00:00"),
+    ("2025-10-06 24:00:01", "UTC", "ymd", None),
+    ("2025-02-29 24:00:00", "UTC", "ymd", None),
+    ("2025-10-06 25:00:00", "UTC", "ymd", None),
     ("2025-10-06 10:00:00 Nowhere/Land", "UTC", "ymd", None),
 ]
 
