@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -59,6 +61,11 @@ def _aliases(spark: SparkSession) -> Column:
     return F.create_map(*[F.lit(x) for p in pairs for x in p])
 
 
+def _any(names: set[str]) -> str:
+    """A pattern for any of the names, longer ones first."""
+    return "(" + "|".join(map(re.escape, sorted(names, key=lambda n: (-len(n), n)))) + ")"
+
+
 def _factors() -> Column:
     return F.create_map(*[x for u, _, f, _ in MEASURES for x in (F.lit(u), F.lit(f).cast("decimal(20,10)"))])
 
@@ -70,14 +77,16 @@ def _tidy(c: Column | str) -> Column:
 def pack_sizes(specs: DataFrame) -> DataFrame:
     """material key, base_unit, counting unit and sizes (map pack -> amount in the base unit) of each spec text.
 
-    A text names one measure and up to two pack counts, from inside out (20g/支，5支/盒，24盒/箱; 20g×5支×24盒/箱;
+    A text names one measure and any number of pack counts, from inside out (20g/支，5支/盒，24盒/箱; 20g×5支×24盒/箱;
     净含量:20g；规格:6袋/箱) or from outside in (每箱24盒，每盒5支，每支20g; 1箱=20罐，每罐20g). Text after it may name the
-    counting unit (计量单位：箱, 默认单位箱, 按箱计). A text without measure gives no packs.
+    counting unit (计量单位：箱, 默认单位箱, 按箱计). A text without measure gives no packs, and a pack of 10^18 base units or
+    more has no size. Counts may have up to four decimals.
     """
     spark = specs.sparkSession
     names, factors = _aliases(spark), _factors()
     text = _tidy("spec_text")
-    unit = r"(kg|mg|ml|cl|dl|pcs|pc|g|l|千克|公斤|毫克|克|毫升|厘升|公升|升|㎖|㎏|个|只|件|枚|张|片|箱|盒|袋|包|罐|瓶|桶|块|支|板)"
+    packs = {a for _, packed in PACKS for a in packed}
+    unit, pack = _any(packs | {a for *_, named in MEASURES for a in named}), _any(packs)
     df = specs.select(
         trimmed_key("sap_code").alias("sap_code"), trimmed_key("product_code").alias("product_code"), F.col("base_unit"),
         F.regexp_extract(text, "(?:计量单位[:：]?|默认单位|按)" + unit + "(?:计|$|[)])?", 1).alias("__count"),
@@ -91,16 +100,16 @@ def pack_sizes(specs: DataFrame) -> DataFrame:
     outward = F.map_contains_key(factors, F.element_at("__p", 1)["u"])
     df = df.where(F.size("__p") > 0).withColumn("__p", F.when(outward, F.col("__p")).otherwise(F.reverse("__p")))
     df = df.where(F.map_contains_key(factors, F.element_at("__p", 1)["u"]))
-    outer = F.coalesce(F.nullif(F.regexp_extract("__t", "^(?:每|1)" + unit, 1), F.lit("")), F.nullif(F.regexp_extract("__t", "/" + unit + "$", 1), F.lit("")))
+    outer = F.coalesce(F.nullif(F.regexp_extract("__t", "^(?:每|1)" + pack, 1), F.lit("")), F.nullif(F.regexp_extract("__t", "/" + unit + "$", 1), F.lit("")))
     df = df.withColumn("__outer", F.try_element_at(names, outer))
-    first = F.element_at("__p", 1)["n"].cast("decimal(20,6)") * F.try_element_at(factors, F.element_at("__p", 1)["u"])
-    start = F.struct(F.array().cast("array<struct<u:string,f:decimal(28,10)>>").alias("seen"), first.cast("decimal(28,10)").alias("f"))
+    first = F.element_at("__p", 1)["n"].try_cast("decimal(14,6)") * F.try_element_at(factors, F.element_at("__p", 1)["u"])
+    start = F.struct(F.array().cast("array<struct<u:string,f:decimal(28,10)>>").alias("seen"), first.try_cast("decimal(28,10)").alias("f"))
 
     def grow(acc: Column, p: Column) -> Column:
         seen = F.concat(acc["seen"], F.array(F.struct(p["u"].alias("u"), acc["f"].alias("f"))))
-        return F.struct(seen.alias("seen"), (acc["f"] * p["n"].cast("decimal(9,0)")).cast("decimal(28,10)").alias("f"))
+        return F.struct(seen.alias("seen"), (acc["f"] * p["n"].try_cast("decimal(12,4)")).try_cast("decimal(28,10)").alias("f"))
 
-    df = df.withColumn("__r", F.aggregate(F.slice("__p", 2, 9), start, grow))
+    df = df.withColumn("__r", F.aggregate(F.slice("__p", F.lit(2), F.size("__p")), start, grow))
     entries = F.concat(F.col("__r.seen"), F.when(F.col("__outer").isNotNull(), F.array(F.struct(F.col("__outer").alias("u"), F.col("__r.f").alias("f")))).otherwise(F.array().cast("array<struct<u:string,f:decimal(28,10)>>")))
     sizes = F.map_from_entries(F.array_compact(F.transform(F.array_distinct(F.transform(entries, lambda e: e["u"])), lambda u: F.element_at(F.filter(entries, lambda e: e["u"] == u), 1))))
     return df.select("sap_code", "product_code", "base_unit", F.try_element_at(names, F.nullif("__count", F.lit(""))).alias("count_unit"), sizes.alias("sizes"))
@@ -114,7 +123,9 @@ def to_base_units(rows: DataFrame, specs: DataFrame, key: str = "row_id") -> Dat
     4盒装箱, 12盒/箱); what it states wins over the spec, inner packs come from the spec. Blank units mean the spec's
     counting unit. No case, hence no row: unknown material, null or NaN quantity, unit exactly the base unit, unit of
     another dimension, pack not in the spec, blank unit without counting unit. A product with several specs that
-    disagree is no case either. Halves are rounded away from zero.
+    disagree is no case either. Halves are rounded away from zero; amounts that do not fit (quantities from 10^14, packs
+    from 10^11 base units, results beyond a bigint) give no row. The aliases, a fixed table of about a hundred rows, are
+    broadcast, so that no row is shuffled to meet the commonest unit.
     """
     packs = pack_sizes(specs).where("base_unit is not null")
     named = packs.select("base_unit", "count_unit", "sizes", F.explode(F.array("sap_code", F.concat(F.lit("SKU:"), F.col("product_code")))).alias("__m")).where("__m is not null")
@@ -127,15 +138,17 @@ def to_base_units(rows: DataFrame, specs: DataFrame, key: str = "row_id") -> Dat
     own = own.withColumn("__text", F.when(is_blank("__unit"), F.lit("")).otherwise(_tidy("__unit")))
     number = F.regexp_extract("__text", r"(?<![\d.])(\d++(?:\.\d++)?)([^\d/()]+?)装?(?:$|[/()]|(?<=装)\D)", 1)
     inner = F.regexp_extract("__text", r"(?<![\d.])(\d++(?:\.\d++)?)([^\d/()]+?)(?:装\D*$|$|[/()])", 2)
-    own = own.withColumn("__n", F.coalesce(number.try_cast("decimal(20,6)"), F.lit(1).cast("decimal(20,6)")))
+    own = own.withColumn("__n", F.when(number == "", F.lit(1).cast("decimal(12,4)")).otherwise(number.try_cast("decimal(12,4)")))
     own = own.withColumn("__alias", F.when(F.col("__text").rlike(r"\d"), inner).otherwise(F.regexp_replace("__text", "(?<=.)装$", "")))
     aliases = alias_table(rows.sparkSession)
-    own = own.join(aliases, own["__alias"] == aliases["alias"], "left").join(facts, "__m")
+    own = own.join(F.broadcast(aliases), own["__alias"] == aliases["alias"], "left").join(facts, "__m")
     unit = F.when(F.col("__text") == "", F.col("count_unit")).otherwise(F.col("unit"))
     factors = _factors()
     by_measure = F.when(F.coalesce("base", F.lit("")) == F.col("base_unit"), F.col("factor"))
     counted = F.when((F.col("__text") == "") & F.map_contains_key(factors, F.coalesce(unit, F.lit(""))), F.try_element_at(factors, unit))
-    each = F.coalesce(by_measure, counted, F.try_element_at("sizes", unit)).cast("decimal(24,10)")
-    amount = (F.col("__q").cast("decimal(20,6)") * F.col("__n")).cast("decimal(26,9)") * each + F.coalesce("unit_offset", F.lit(0).cast("decimal(20,10)"))
-    out = own.withColumn("__milli", F.round(amount.cast("decimal(38,9)") * 1000, 0).cast("long"))
+    each = F.coalesce(by_measure, counted, F.try_element_at("sizes", unit)).try_cast("decimal(21,10)")
+    # 14 and 11 digits before the point leave 12 behind it, so that the product is exact far below a thousandth.
+    amount = (F.col("__q").try_cast("decimal(18,6)") * F.col("__n")).try_cast("decimal(22,8)") * each
+    amount = amount + F.coalesce("unit_offset", F.lit(0)).try_cast("decimal(21,10)")
+    out = own.withColumn("__milli", F.round(amount * 1000, 0).try_cast("long"))
     return out.where(F.col("__milli").isNotNull() & (F.col("__unit").isNull() | (F.col("__unit") != F.col("base_unit")))).select(key, "base_unit", F.col("__milli").alias("milli_quantity"))

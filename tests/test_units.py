@@ -9,6 +9,7 @@ from reconspark.operators.units import MEASURES, PACKS, to_base_units
 SPECS = [
     ("S1", "P1", "20克/支，5支/盒，24盒/箱", "g"), ("S2", "P2", "每箱10盒，每盒8罐，每罐330毫升", "ml"), ("S3", "P3", "净含量:2000mL；规格:20桶/箱，计量单位：箱", "ml"),
     ("S4", "P4", "1箱=6瓶，每瓶2L 默认单位瓶", "ml"), ("S5", "P5", "6个×24板/箱（按板计）", "pc"), ("S6", "P6", None, "g"), (None, None, "", None),
+    ("S7", "P7", "1kg/支，6支/盒，16盒/箱", "g"), ("S8", "P8", "1LX8桶X20盒/箱", "ml"), ("S9", "P9", "2斤/袋，2.5袋/盒", "g"), ("S10", "P10", "9" * 300 + "g/袋，" + "9" * 300 + "袋/箱", "g"),
 ]
 CASES = [
     ("S1", "箱", 1.0, 2400000), ("s1 ", "整箱", 2.0, 4800000), ("SKU:P1", "4盒装箱", 1.0, 400000), ("S1", "箱（10盒装）", 0.5, 500000), ("S1", "g", 5.0, None),
@@ -16,6 +17,8 @@ CASES = [
     ("S2", "罐(250毫升)", 2.0, 500000), ("S2", "0.3L", 1.0, 300000), ("S2", "ctn", 1.0, 26400000), ("S3", None, 1.0, 40000000), ("S4", " ", 1.0, 2000000), ("S4", "N/A", 1.0, 2000000),
     ("S5", "板", 2.0, 12000), ("S5", "打", 1.0, 12000), ("S5", "", 1.0, 6000), ("S6", "kg", 0.0005, 500), ("S6", "箱", 1.0, None), ("nope", "kg", 1.0, None),
     ("S1", "mg", 0.5, 1), ("S1", "mg", -0.5, -1), ("S1", "kg", None, None), ("S1", "kg", float("nan"), None), (None, "kg", 1.0, None), ("S1", "x" * 40000, 1.0, None),
+    ("S7", "箱", 1.0, 96000000), ("S7", "盒", 1.0, 6000000), ("S8", "整箱", 2.0, 320000000), ("S8", "桶", 1.0, 1000000), ("S9", "盒", 1.0, 2500000), ("S9", "袋", 1.0, 1000000), ("S10", "箱", 1.0, None), ("S10", "kg", 1.0, 1000000),
+    ("S1", "kg", 1e300, None), ("S1", "kg", float("inf"), None), ("S1", "9" * 400 + "kg", 1.0, None), ("S1", "lb", 0.0000011, 0),
 ]
 
 
