@@ -7,7 +7,10 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from reconspark.functions.text import is_blank, number_blank
-from reconspark.operators.orphans import heavy_keys
+from reconspark.session import staged
+
+#: Rows of a group that one window partition ranks.
+PART_ROWS = 20_000
 
 
 def field_blank(df: DataFrame, field: str) -> Column:
@@ -16,15 +19,15 @@ def field_blank(df: DataFrame, field: str) -> Column:
     return is_blank(field) if kind == "string" else number_blank(field) if kind in ("double", "float") else F.col(field).isNull()
 
 
-def survivors(rows: DataFrame, key: str, row_id: str, fields: tuple[str, ...], trust: str, recency: str, hot_at: int = 20_000, salts: int = 64) -> DataFrame:
+def survivors(rows: DataFrame, key: str, row_id: str, fields: tuple[str, ...], trust: str, recency: str, part_rows: int = PART_ROWS) -> DataFrame:
     """For each group of two or more rows with the same `key`: group_row_id, members and, for each field, the row_id
     whose value survives (null where the field is blank throughout).
 
     Rows are ranked in a window by completeness of the field, trust (small is best, null last), recency (late is
-    best, null last) and row_id (large is best), so that the order is total and ties cannot occur. Groups with more
-    than `hot_at` rows and a thousandth of all (at most a thousand groups, hence broadcast) are split over `salts`
-    window partitions, each keeps its winners, and one aggregation ranks the winners of the parts; a part's size
-    falls as `salts` grows, and no such group is ever gathered whole. Null keys
+    best, null last) and row_id (large is best), so that the order is total and ties cannot occur. A group of more than
+    `part_rows` rows is split over as many window partitions as it has parts of that size, each keeps its winners, and
+    one aggregation ranks the winners of the parts, so no window grows with a group. The number of parts of each such
+    group is staged: the planner sees its size and broadcasts it or joins it by shuffle. Null keys
     form no group. Repeated row_ids count as rows of their own and name the same row.
     """
     ranked = rows.select(
@@ -32,9 +35,9 @@ def survivors(rows: DataFrame, key: str, row_id: str, fields: tuple[str, ...], t
         F.coalesce(F.col(recency).cast("timestamp"), F.timestamp_seconds(F.lit(-(10**10)))).alias("__late"),
         *[field_blank(rows, f).alias(f"__blank_{i}") for i, f in enumerate(fields)],
     ).where("__k is not null")
-    sizes = ranked.groupBy("__k").agg(F.count(F.lit(1)).alias("__n")).where("__n > 1")
-    hot = heavy_keys(sizes, "__k", "__n", hot_at).select("__k", F.lit(salts).alias("__salts"))
-    ranked = ranked.join(F.broadcast(hot), "__k", "left").withColumn("__salt", F.when(F.col("__salts").isNotNull(), F.pmod(F.xxhash64("__id"), F.lit(salts))).otherwise(0))
+    sizes = ranked.groupBy("__k").agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > part_rows)
+    large = staged(sizes.select("__k", F.ceil(F.col("__n") / part_rows).alias("__parts")), "large-groups")
+    ranked = ranked.join(large, "__k", "left").withColumn("__salt", F.when(F.col("__parts").isNotNull(), F.pmod(F.xxhash64("__id"), F.col("__parts"))).otherwise(0))
     part = W.partitionBy("__k", "__salt").orderBy(F.desc("__trust"), F.desc("__late"), F.desc("__id"))
     whole = part.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
     place = F.struct("__trust", "__late", F.col("__id").alias("id"))

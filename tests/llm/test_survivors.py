@@ -35,8 +35,8 @@ def test_against_brute_force(spark):
         key = "hot" if i % 3 == 0 else rng.choice([f"k{j}" for j in range(120)] + [None])
         rows.append((i, key, rng.choice(["x", "", None, "-", " "]), rng.choice([1.0, None, float("nan")]), rng.choice([1, 2, None]), rng.choice([datetime(2026, 1, d) for d in (1, 2)] + [None]), "clash"))
     df = spark.createDataFrame(rows, SCHEMA)
-    for hot_at in (50, 10**9):
-        found = survivors(df, "k", "row_id", ("a", "n"), "trust", "at", hot_at=hot_at, salts=4)
+    for part_rows in (3, 50, 10**9):
+        found = survivors(df, "k", "row_id", ("a", "n"), "trust", "at", part_rows=part_rows)
         assert {tuple(r) for r in by_field(found, ("a", "n")).collect()} == brute(rows)
     assert survivors(df.limit(0), "k", "row_id", ("a",), "trust", "at").count() == 0
 
