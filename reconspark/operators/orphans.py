@@ -5,38 +5,48 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from reconspark.session import staged
 
-def heavy_keys(counted: DataFrame, key: str, count: str, at_least: int) -> DataFrame:
-    """Keys with more than `at_least` rows and more than a thousandth of all rows: at most a thousand, by arithmetic."""
-    total = counted.agg(F.sum(count).alias("__all"))
-    return counted.crossJoin(F.broadcast(total)).where((F.col(count) > at_least) & (F.col(count) * 1000 > F.col("__all"))).select(key)
+#: References from which a key counts as heavy.
+HEAVY_AT = 10_000
 
 
-def orphans(refs: DataFrame, targets: DataFrame, heavy_at: int = 10_000) -> DataFrame:
-    """The rows of `refs` (ref_key, and any payload) whose ref_key is not in `targets` (target_key).
+def _checked(refs: DataFrame, targets: DataFrame, period: list[str], heavy_at: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The verdict on the heavy keys, and the counts by key and period with their verdict: of heavy and of light keys."""
+    counted = refs.where("ref_key is not null").groupBy("ref_key", *period).agg(F.count(F.lit(1)).alias("reference_count"))
+    known = targets.select(F.col("target_key").alias("ref_key")).where("ref_key is not null").distinct().withColumn("__known", F.lit(True))
+    heavy = counted.groupBy("ref_key").agg(F.sum("reference_count").alias("__n")).where(F.col("__n") >= heavy_at).select("ref_key")
+    verdict = staged(heavy.join(known, "ref_key", "left").select("ref_key", F.col("__known").isNull().alias("orphan")), "heavy-keys")
+    light = counted.join(verdict, "ref_key", "left_anti").join(known, "ref_key", "left")
+    return verdict, counted.join(verdict, "ref_key"), light.withColumn("orphan", F.col("__known").isNull()).drop("__known")
 
-    References are counted per key first. Keys with more than `heavy_at` references and a thousandth of all are
-    heavy: at most a thousand, so they may be broadcast. They are checked once each against the targets, and their
-    verdict meets the rows without a shuffle. All other keys go through a shuffled anti-join, which no heavy key
-    reaches. Null keys are no references.
+
+def orphan_counts(refs: DataFrame, targets: DataFrame, period: list[str], heavy_at: int = HEAVY_AT) -> DataFrame:
+    """ref_key, the `period` columns, reference_count and orphan (boolean): references by key and period, each key checked.
+
+    References are counted by key and period before anything else, so a key has one row a period however many references
+    it has. Keys with at least `heavy_at` references are checked once each and their verdict is staged, so that the
+    planner sees its size: small it is broadcast, else joined by shuffle. All other keys meet the targets in a shuffled
+    join that no heavy key reaches. Both parts are united. Null keys are no references; empty tables give no rows.
     """
-    refs = refs.where("ref_key is not null")
-    heavy = heavy_keys(refs.groupBy("ref_key").agg(F.count(F.lit(1)).alias("__n")), "ref_key", "__n", heavy_at)
-    known = targets.select(F.col("target_key").alias("ref_key")).where("ref_key is not null")
-    heavy_missing = heavy.join(known.join(F.broadcast(heavy), "ref_key", "left_semi").distinct(), "ref_key", "left_anti")
-    of_heavy = refs.join(F.broadcast(heavy_missing), "ref_key", "left_semi")
-    of_light = refs.join(F.broadcast(heavy), "ref_key", "left_anti").join(known.distinct(), "ref_key", "left_anti")
+    _, of_heavy, of_light = _checked(refs, targets, period, heavy_at)
     return of_heavy.unionByName(of_light)
 
 
-def orphan_report(refs: DataFrame, targets: DataFrame) -> DataFrame:
-    """ref_field, file_month, references, orphans: counted per field, period and key before the keys are checked.
-
-    A key then has one row a period however many references it has, so the counts meet the targets in a plain join.
+def orphans(refs: DataFrame, targets: DataFrame, period: list[str], heavy_at: int = HEAVY_AT) -> DataFrame:
+    """The rows of `refs` (ref_key, the `period` columns and any payload) whose ref_key is not in `targets` (target_key).
 
-    `refs` has ref_field, file_month and ref_key (null keys are no references); `targets` ref_field and target_key.
+    The missing keys come from the same counts as in orphan_counts. Rows of heavy keys meet the staged verdict, all
+    others the missing light keys; both parts are united.
     """
-    counted = refs.where("ref_key is not null").groupBy("ref_field", "file_month", "ref_key").agg(F.count(F.lit(1)).alias("__n"))
-    known = targets.select("ref_field", F.col("target_key").alias("ref_key"), F.lit(True).alias("__known")).where("ref_key is not null").distinct()
-    checked = counted.join(known, ["ref_field", "ref_key"], "left")
-    return checked.groupBy("ref_field", "file_month").agg(F.sum("__n").alias("reference_count"), F.sum(F.when(F.col("__known").isNull(), F.col("__n")).otherwise(0)).alias("orphan_count"))
+    verdict, _, of_light = _checked(refs, targets, period, heavy_at)
+    of_heavy = refs.join(verdict.where("orphan"), "ref_key", "left_semi")
+    missing = of_light.where("orphan").select("ref_key").distinct()
+    light = refs.join(verdict, "ref_key", "left_anti").join(missing, "ref_key", "left_semi")
+    return of_heavy.unionByName(light)
+
+
+def orphan_report(refs: DataFrame, targets: DataFrame, by: list[str], heavy_at: int = HEAVY_AT) -> DataFrame:
+    """The columns `by` (table and period), reference_count and orphan_count, from the counts of orphan_counts."""
+    checked = orphan_counts(refs, targets, by, heavy_at)
+    return checked.groupBy(*by).agg(F.sum("reference_count").alias("reference_count"), F.sum(F.when(F.col("orphan"), F.col("reference_count")).otherwise(0)).alias("orphan_count"))

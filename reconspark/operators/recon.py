@@ -39,6 +39,11 @@ def within(a: Column | str, b: Column | str, tolerance: float) -> Column:
     return F.abs(a - b) <= F.lit(tolerance)
 
 
+def exception_rank(ok: list[str], result: str = "result") -> Column:
+    """2 for agreeing results, 1 for all others, null results included."""
+    return F.when(F.col(result).isin(*ok), 2).otherwise(1)
+
+
 def exception_first(df: DataFrame, ok: list[str], *keys: str, result: str = "result") -> DataFrame:
-    """Rows ordered with exceptions before agreeing results, then by result and keys."""
-    return df.orderBy(F.when(F.col(result).isin(*ok), 2).otherwise(1), result, *keys)
+    """All rows, ordered with exceptions before agreeing results, then by result and keys."""
+    return df.orderBy(exception_rank(ok, result), result, *keys)

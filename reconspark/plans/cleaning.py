@@ -80,12 +80,12 @@ def _references(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
 def p7_found(spark: SparkSession, d: str) -> DataFrame:
     """Rows that refer to a bill, an amount or a material that does not exist."""
     refs, targets = _references(spark, d)
-    return orphans(refs, targets).select("ref_field", "row_id", "file_month")
+    return orphans(refs, targets, ["file_month"]).select("ref_field", "row_id", "file_month")
 
 
 def p7_report(spark: SparkSession, d: str) -> DataFrame:
     """References and orphans per field and file month."""
-    return orphan_report(*_references(spark, d))
+    return orphan_report(*_references(spark, d), ["ref_field", "file_month"])
 
 
 QUERIES = {f.__name__: f for f in (p1_found, p1_zones, p4_found, p4_summary, p6_found, p7_found, p7_report)}

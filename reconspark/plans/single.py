@@ -10,7 +10,7 @@ from reconspark.functions import business as B
 from reconspark.functions.numbers import parse_number
 from reconspark.operators import dedup, rollup
 from reconspark.operators.matching import best_match, cosine, graded, sequence_ratio
-from reconspark.operators.recon import exception_first, within
+from reconspark.operators.recon import exception_first, exception_rank, within
 from reconspark.plans.chain import Chain
 from reconspark.plans.fixtures import views
 from reconspark.sources.tables import table
@@ -131,9 +131,10 @@ def topk_abs_diff(spark: SparkSession, d: str) -> DataFrame:
 
 
 def exception_order(spark: SparkSession, d: str) -> DataFrame:
-    """Exceptions before agreeing results: the first hundred rows in that order."""
-    rows = Chain(spark, d).order_bill_recon.select("platform_order_no", "result")
-    return exception_first(rows, ["单号金额一致"], "platform_order_no").limit(100)
+    """The whole order-bill reconciliation with exceptions before agreeing results, and the rank that orders it."""
+    ok = ["单号金额一致"]
+    rows = Chain(spark, d).order_bill_recon.select("platform_order_no", "result", exception_rank(ok).alias("exception_rank"))
+    return exception_first(rows, ok, "platform_order_no")
 
 
 def labelled_union(spark: SparkSession, d: str) -> DataFrame:

@@ -40,7 +40,7 @@ _CHAINED = {
     "partition_totals": f"""select *, cast(sum(abs(amount)) over w as bigint) as abs_amount_total, cast(sum(abs(quantity)) over w as bigint) as abs_qty_total, count(*) over w as item_groups
         from (select ship_month, shop, material_key, {s('amount')}, {s('quantity')} from fx_item group by 1, 2, 3) window w as (partition by ship_month, shop)""",
     "topk_abs_diff": "select platform_order_no, amount_difference, result from order_bill_recon where amount_difference is not null order by abs(amount_difference) desc, platform_order_no limit 20",
-    "exception_order": "select platform_order_no, result from order_bill_recon order by case result when '单号金额一致' then 2 else 1 end, result, platform_order_no limit 100",
+    "exception_order": "select platform_order_no, result, cast(case result when '单号金额一致' then 2 else 1 end as integer) as exception_rank from order_bill_recon order by 3, 2, 1",
     "labelled_union": " union all ".join([f"select 'WDT' as source, {s('quantity')}, {s('amount')} from fx_item", *[f"select 'OMS_{t}', {s('item_num', 'quantity')}, {s('share_amount', 'amount')} from fx_oms where business_type = '{t}'" for t in ("Y005", "Y001")]]),
     "vector_cosine": """select * from (with w as (select shop, ship_month as m, material_key as i, sum(cast(amount as double) / 100) as x from fx_item group by 1, 2, 3),
         o as (select customer_code, outbound_month as m, item_code as i, sum(cast(share_amount as double) / 100) as y from fx_oms where business_type = 'Y005' and customer_code is not null group by 1, 2, 3),

@@ -53,24 +53,27 @@ def shared_dir(spark: SparkSession) -> str:
         return named
     if not spark.sparkContext.master.startswith("local["):
         raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
-    made = os.environ.setdefault("RECONSPARK_LOCAL_CHECKPOINTS", tempfile.mkdtemp(prefix="reconspark-"))
-    return made
-
-
-def checkpoint(df: DataFrame) -> DataFrame:
-    """Cuts the lineage by a reliable checkpoint in the shared folder."""
-    sc = df.sparkSession.sparkContext
-    if sc._jsc.sc().getCheckpointDir().isEmpty():
-        sc.setCheckpointDir(shared_dir(df.sparkSession))
-    return df.checkpoint(eager=True)
+    if "RECONSPARK_LOCAL_CHECKPOINTS" not in os.environ:
+        os.environ["RECONSPARK_LOCAL_CHECKPOINTS"] = tempfile.mkdtemp(prefix="reconspark-")
+        atexit.register(shutil.rmtree, os.environ["RECONSPARK_LOCAL_CHECKPOINTS"], ignore_errors=True)
+    return os.environ["RECONSPARK_LOCAL_CHECKPOINTS"]
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:
-    """Writes a table into the shared folder and reads it again: lineage is cut and lost executors lose nothing."""
+    """Writes a table into the shared folder and reads it again: lineage is cut and lost executors lose nothing.
+
+    It stays until the application ends or discard() removes it.
+    """
     place = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(place)
     atexit.register(_remove, df.sparkSession, place)
-    return df.sparkSession.read.parquet(place)
+    return df.sparkSession.read.schema(df.schema).parquet(place)
+
+
+def discard(df: DataFrame) -> None:
+    """Removes a staged table that nothing will read again."""
+    for place in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        _remove(df.sparkSession, place)
 
 
 def _remove(spark: SparkSession, place: str) -> None:

@@ -1,7 +1,6 @@
 """Operators on hand-written rows: one case for each outcome, nulls, ties, empty tables and clashing names."""
 
 import difflib
-import inspect
 
 import pytest
 from pyspark.sql import functions as F
@@ -13,7 +12,7 @@ from reconspark.operators import dedup, rollup
 from reconspark.operators.allocate import pro_rata
 from reconspark.operators.differences import difference_summary, differences
 from reconspark.operators.matching import best_match, bridge_vote, cosine, graded, sequence_ratio
-from reconspark.operators.orphans import heavy_keys, orphan_report, orphans
+from reconspark.operators.orphans import orphan_counts, orphan_report, orphans
 from reconspark.operators.recon import classify, exception_first, two_sided, within
 
 
@@ -140,21 +139,17 @@ def test_orphans_split_heavy_keys(spark):
     refs = spark.createDataFrame([(i, "hot" if i % 3 else "hot2", "f", "m1") for i in range(90)] + [(100, "x", "f", "m1"), (101, "y", "f", None), (102, None, "f", "m1")], "row_id long, ref_key string, ref_field string, file_month string")
     known = spark.createDataFrame([("hot", "f"), ("hot", "f"), ("x", "f"), (None, "f")], "target_key string, ref_field string")
     want = {i for i in range(90) if i % 3 == 0} | {101}
-    counted = refs.where("ref_key is not null").groupBy("ref_key").count()
-    assert {r.ref_key for r in heavy_keys(counted, "ref_key", "count", 5).collect()} == {"hot", "hot2"}
     for heavy_at in (5, 10_000):
-        assert {r.row_id for r in orphans(refs, known, heavy_at).collect()} == want
-    assert {(r.file_month, r.reference_count, r.orphan_count) for r in orphan_report(refs, known).collect()} == {("m1", 91, 30), (None, 1, 1)}
-    assert orphans(refs, known.limit(0)).count() == 92 and orphans(refs.limit(0), known).count() == 0
-
-
-
-
+        assert {r.row_id for r in orphans(refs, known, ["file_month"], heavy_at).collect()} == want
+        assert {(r.ref_key, r.file_month, r.reference_count, r.orphan) for r in orphan_counts(refs, known, ["file_month"], heavy_at).collect()} == {("hot", "m1", 60, False), ("hot2", "m1", 30, True), ("x", "m1", 1, False), ("y", None, 1, True)}
+        assert {tuple(r) for r in orphan_report(refs, known, ["file_month"], heavy_at).collect()} == {("m1", 91, 30), (None, 1, 1)}
+    assert orphans(refs, known.limit(0), ["file_month"]).count() == 92 and orphans(refs.limit(0), known, ["file_month"]).count() == 0
 def test_orphan_report_counts_hot_keys_a_period(spark):
-    refs = spark.range(30_000).select(F.lit("f").alias("ref_field"), F.concat(F.lit("m"), F.col("id") % 3).alias("file_month"), F.when(F.col("id") % 2 == 0, "hot").otherwise("lost").alias("ref_key"))
-    known = spark.createDataFrame([("hot", "f"), ("lost", "g")], "target_key string, ref_field string")
-    assert {(r.file_month, r.reference_count, r.orphan_count) for r in orphan_report(refs, known).collect()} == {(f"m{k}", 10_000, 5_000) for k in range(3)}
-    assert list(inspect.signature(orphan_report).parameters) == ["refs", "targets"]  # one plain join: no split to set
+    refs = spark.range(30_000).select(F.lit("f").alias("ref_field"), F.concat(F.lit("m"), F.col("id") % 3).alias("file_month"), F.when(F.col("id") % 2 == 0, "f|hot").otherwise("f|lost").alias("ref_key"))
+    known = spark.createDataFrame([("f|hot",), ("g|lost",)], "target_key string")
+    for heavy_at in (10_000, 10**9):
+        found = orphan_report(refs, known, ["ref_field", "file_month"], heavy_at)
+        assert {tuple(r) for r in found.collect()} == {("f", f"m{k}", 10_000, 5_000) for k in range(3)}
 
 
 def test_keys_before_a_last_line_break(spark):
