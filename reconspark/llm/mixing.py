@@ -9,15 +9,21 @@ quota exactly. A shard takes disjoint runs of its sources' permuted blocks and s
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from reconspark.session import staged
+
 BLOCK_TOKENS = 4096
 SHARD_TOKENS = 2_000_000
 BUCKET_TOKENS = 2_000_000
+#: Nodes of the splitting tree on the driver; buckets that one prefix sum runs over; items that numpy's sampler takes.
+TOP_NODES, BUCKETS_AT_ONCE, NUMPY_MOST = 1024, 1024, 10**9
 
 
 def quotas(available: dict[str, int], targets: dict[str, tuple[float, int]], total: int | None = None) -> dict[str, int]:
@@ -35,50 +41,84 @@ def quotas(available: dict[str, int], targets: dict[str, tuple[float, int]], tot
     return {s: min(int(size * share / whole), available[s] * most) for s, (share, most) in sorted(usable.items())}
 
 
-def splitting_tree(blocks: dict[str, int], shards: int, seed: int) -> list[tuple[str, int, int, int]]:
-    """(source, shard, first block, end block) of each shard's run of permuted blocks; runs are disjoint and complete.
+#: A node of the splitting tree: first shard, end shard, first block and number of blocks of each source.
+Node = tuple[int, int, np.ndarray, np.ndarray]
+
 
-    Works on counts alone: its size is sources times shards, whatever the corpus holds.
+def split(node: Node, seed: int, widest: int = 1) -> Iterator[Node]:
+    """The nodes of at most `widest` shards below a node, from left to right.
+
+    A node's draw is seeded by its shards alone, so that a subtree comes out the same wherever it is drawn. It takes the
+    left half's blocks from all sources without replacement (multivariate hypergeometric: one draw a source, given the
+    ones before); the right half has the rest.
     """
-    rng = np.random.default_rng(seed)
-    names = sorted(blocks)
-    counts = np.array([blocks[s] for s in names], dtype=np.int64)
-    given = np.zeros((shards, len(names)), dtype=np.int64)
-
-    def split(lo: int, hi: int, left_counts: np.ndarray) -> None:
-        if hi - lo == 1:
-            given[lo] = left_counts
-            return
-        mid = (lo + hi) // 2
-        size = int(left_counts.sum()) * (mid - lo) // (hi - lo)
-        take, need, rest = np.zeros_like(left_counts), size, int(left_counts.sum())
-        for i, n in enumerate(left_counts):  # one hypergeometric draw a source, given the ones before
+    todo = [node]
+    while todo:
+        lo, hi, first, counts = todo.pop()
+        if hi - lo <= widest:
+            yield lo, hi, first, counts
+            continue
+        rng, mid = np.random.default_rng([seed, lo, hi]), (lo + hi) // 2
+        rest = int(counts.sum())
+        need, take = rest * (mid - lo) // (hi - lo), np.zeros_like(counts)
+        for i, n in enumerate(counts):
             rest -= int(n)
-            take[i] = _hypergeometric(rng, int(n), rest, need)
+            take[i] = hypergeometric(rng, int(n), rest, need)
             need -= int(take[i])
-        split(lo, mid, take)
-        split(mid, hi, left_counts - take)
+        todo += [(mid, hi, first + take, counts - take), (lo, mid, first, take)]
 
-    split(0, shards, counts)
-    ends = given.cumsum(axis=0)
-    return [(names[i], h, int(ends[h, i] - given[h, i]), int(ends[h, i])) for h in range(shards) for i in range(len(names)) if given[h, i]]
 
+def shard_runs(spark: SparkSession, blocks: dict[str, int], shards: int, seed: int) -> DataFrame:
+    """source, shard, lo, hi: each shard's run of permuted blocks; the runs of a source are disjoint and complete.
 
-def _hypergeometric(rng: np.random.Generator, good: int, bad: int, drawn: int) -> int:
-    """numpy's sampler below its limit, beyond it the rounded mean with normal spread, kept in range."""
+    The driver draws the top of the tree, at most TOP_NODES nodes whatever the corpus holds; the subtrees below are drawn
+    by the executors, each by itself.
+    """
+    names = sorted(blocks)
+    counts = np.array([blocks[s] for s in names], dtype=np.int64)
+    top = split((0, shards, np.zeros_like(counts), counts), seed, -(-shards // TOP_NODES)) if names else ()
+    rows = [(lo, hi, first.tolist(), n.tolist()) for lo, hi, first, n in top]
+
+    def below(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for r in batch.to_pylist():
+                for at, _, first, n in split((r["lo"], r["hi"], np.array(r["first"], np.int64), np.array(r["n"], np.int64)), seed):
+                    used = np.flatnonzero(n)
+                    if len(used):
+                        columns = [pa.array([names[i] for i in used], pa.string()), pa.array([at] * len(used), pa.int64()), pa.array(first[used]), pa.array((first + n)[used])]
+                        yield pa.RecordBatch.from_arrays(columns, names=["source", "shard", "lo", "hi"])
+
+    nodes = spark.createDataFrame(rows, "lo long, hi long, first array<bigint>, n array<bigint>").repartition(max(1, min(len(rows), spark.sparkContext.defaultParallelism)))
+    return nodes.mapInArrow(below, "source string, shard long, lo long, hi long")
+
+
+def hypergeometric(rng: np.random.Generator, good: int, bad: int, drawn: int) -> int:
+    """How many of `drawn` items taken without replacement from good + bad are good.
+
+    Where the whole is too large for numpy's sampler, the distribution is inverted: the probabilities follow from one
+    another by their exact ratios from the most likely number outwards, as far as they count in a double (12 standard
+    deviations leave less than 1e-31).
+    """
     if good == 0 or drawn == 0:
         return 0
-    if good + bad < 10**9:
+    if good + bad < NUMPY_MOST:
         return int(rng.hypergeometric(good, bad, drawn))
-    n, p = good + bad, good / (good + bad)
-    spread = math.sqrt(drawn * p * (1 - p) * (n - drawn) / (n - 1))
-    return int(min(good, drawn, max(0, drawn - bad, round(drawn * p + spread * rng.standard_normal()))))
+    whole = good + bad
+    mode = (drawn + 1) * (good + 1) // (whole + 2)
+    spread = math.sqrt(drawn * (good / whole) * (bad / whole) * max(whole - drawn, 1) / (whole - 1))
+    reach = int(12 * spread) + 64
+    lo, hi = max(0, drawn - bad, mode - reach), min(good, drawn, mode + reach)
+    k = np.arange(lo, hi, dtype=np.float64)
+    steps = np.log((good - k) * (drawn - k)) - np.log((k + 1) * (bad - drawn + k + 1))
+    logs = np.concatenate([[0.0], np.cumsum(steps)])
+    chance = np.cumsum(np.exp(logs - logs.max()))
+    return lo + int(np.searchsorted(chance, rng.random() * chance[-1], "right"))
 
 
 def _coprime(n: int, seed: int) -> tuple[int, int]:
-    """Step and offset of the block permutation b -> (b * step + offset) mod n."""
+    """Step and offset of the block permutation b -> (b * step + offset) mod n; n * step stays within a bigint."""
     rng = np.random.default_rng(seed)
-    step = int(n * 0.6180339887) + int(rng.integers(0, 97)) | 1
+    step = int(min(n, (1 << 62) // max(n, 1)) * 0.6180339887) + int(rng.integers(0, 97)) | 1
     while math.gcd(step, n) != 1:
         step += 1
     return step % max(n, 1) or 1, int(rng.integers(0, max(n, 1)))
@@ -91,7 +131,7 @@ def mixture(sizes: DataFrame, targets: DataFrame, total: int | None = None, seed
     source, target_share and max_repeats, one small row a source (the first by order counts if a source repeats).
     Every record of a source goes in as often as its quota has whole passes, a random part once more. Records
     without tokens or source, and sources without target, are not mixed. No targets or no records give no rows.
-    Positions on a source's line are prefix sums in two levels, so a source that holds most rows is spread over
+    Positions on a source's line are prefix sums in three levels, so a source that holds most rows is spread over
     buckets of about BUCKET_TOKENS; shards have about SHARD_TOKENS. Both grow in number, not in size.
     """
     spark = sizes.sparkSession
@@ -101,18 +141,21 @@ def mixture(sizes: DataFrame, targets: DataFrame, total: int | None = None, seed
     quota = {s: q for s, q in quotas(have, wanted, total).items() if q > 0}
     blocks = {s: -(-q // BLOCK_TOKENS) for s, q in quota.items()}
     shards = max(1, round(sum(quota.values()) / SHARD_TOKENS))
-    tree = splitting_tree(blocks, shards, seed) if blocks else []
     plan = []
     for i, s in enumerate(sorted(quota)):
         step, offset = _coprime(blocks[s], seed + i)
         plan.append((s, have[s], quota[s], blocks[s], step, offset, max(1, have[s] // BUCKET_TOKENS)))
     plan_df = spark.createDataFrame(plan, "source string, have long, quota long, blocks long, step long, start long, buckets long")
-    runs = spark.createDataFrame(tree, "source string, shard int, lo long, hi long")
+    runs = shard_runs(spark, blocks, shards, seed)
 
     keyed = live.join(plan_df, "source").withColumn("__h", F.xxhash64(F.lit(seed), "doc_id"))
     keyed = keyed.withColumn("__bucket", F.pmod(F.shiftright("__h", 20), F.col("buckets")))
     heads = keyed.groupBy("source", "__bucket").agg(F.sum("tokens").alias("__sum"))
-    heads = heads.select("source", "__bucket", (F.sum("__sum").over(W.partitionBy("source").orderBy("__bucket")) - F.col("__sum")).alias("__before"))
+    heads = staged(heads.withColumn("__run", F.floor(F.col("__bucket") / BUCKETS_AT_ONCE)), "mixing-buckets")
+    before = lambda *keys, order: F.sum("__sum").over(W.partitionBy(*keys).orderBy(order)) - F.col("__sum")
+    starts = heads.groupBy("source", "__run").agg(F.sum("__sum").alias("__sum")).select("source", "__run", before("source", order="__run").alias("__start"))
+    heads = heads.select("source", "__run", "__bucket", before("source", "__run", order="__bucket").alias("__inside")).join(starts, ["source", "__run"])
+    heads = heads.select("source", "__bucket", (F.col("__start") + F.col("__inside")).alias("__before"))
     inside = W.partitionBy("source", "__bucket").orderBy("__h", "doc_id", "tokens").rowsBetween(W.unboundedPreceding, W.currentRow)
     placed = keyed.withColumn("__end", F.sum("tokens").over(inside)).join(heads, ["source", "__bucket"])
     placed = placed.withColumn("__at", F.col("__before") + F.col("__end") - F.col("tokens"))
@@ -124,7 +167,7 @@ def mixture(sizes: DataFrame, targets: DataFrame, total: int | None = None, seed
     spread = runs.select("source", "shard", F.explode(F.sequence("lo", F.col("hi") - 1)).alias("__block"))
     mixed = copies.join(spread, ["source", "__block"])
     local = W.partitionBy("shard").orderBy(F.xxhash64(F.lit(seed + 1), "doc_id", "copy"), "doc_id", "copy")
-    return mixed.select("doc_id", "copy", "source", F.col("tokens").cast("int").alias("tokens"), "shard", (F.row_number().over(local) - 1).alias("position"))
+    return mixed.select("doc_id", "copy", "source", F.col("tokens").cast("int").alias("tokens"), F.col("shard").cast("int").alias("shard"), (F.row_number().over(local) - 1).alias("position"))
 
 
 def shares(sizes: DataFrame, targets: DataFrame, mixed: DataFrame) -> DataFrame:
