@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from reconspark.functions.frames import settled
 from reconspark.functions.text import SPACE, _col, half_width, is_blank
 from reconspark.session import staged
 
@@ -65,9 +66,9 @@ def _with_zone(df: DataFrame, text: str, into: str, rest: str) -> DataFrame:
     """Adds `into`, the zone id that the tidy text states after its time of day, and `rest`, the text before it."""
     plain = F.col(text).rlike(_PLAIN)
     stated = F.col(text).rlike(r":\d{2}.*[^\d秒]$|[+-]\d{1,2}(:?\d{2})?$")
-    df = _settled(df, __raw=F.when(~plain & stated, F.regexp_extract(text, _ZONE, 1)))
+    df = settled(df, __raw=F.when(~plain & stated, F.regexp_extract(text, _ZONE, 1)))
     before = F.trim(F.left(F.col(text), F.length(text) - F.length("__raw")))
-    return _settled(df, **{into: _zone_id(F.col("__raw")), rest: F.lower(F.when(F.coalesce("__raw", F.lit("")) == "", F.col(text)).otherwise(before))}).drop("__raw")
+    return settled(df, **{into: _zone_id(F.col("__raw")), rest: F.lower(F.when(F.coalesce("__raw", F.lit("")) == "", F.col(text)).otherwise(before))}).drop("__raw")
 
 
 def _fields(text: Column, date_order: Column | str) -> Column:
@@ -96,12 +97,6 @@ def _local_ms(text: Column) -> Column:
     return F.round((serial - 25569) * 86_400_000).cast("long")
 
 
-def _settled(df: DataFrame, **exprs: Column) -> DataFrame:
-    """Adds columns through a generator, which keeps the optimiser from repeating their expressions in later ones."""
-    made = F.array(F.struct(*[e.alias(n) for n, e in exprs.items()]))
-    return df.select("*", F.inline(made))
-
-
 def with_instant(df: DataFrame, text: str, zone: str, date_order: str, into: str = "utc_ms") -> DataFrame:
     """Adds `into` (bigint), the instant in ms since 1970 UTC that the text names, rounded to the nearest.
 
@@ -112,33 +107,33 @@ def with_instant(df: DataFrame, text: str, zone: str, date_order: str, into: str
     impossible texts, and local texts without any zone, give null. The row count never changes.
     """
     temp = ["__m_text", "__m_zone", "__m_body", "__m_part", "__m_serial"]
-    df = _settled(df, __m_text=F.when(~is_blank(text), _tidy(text)))
+    df = settled(df, __m_text=F.when(~is_blank(text), _tidy(text)))
     df = _with_zone(df, "__m_text", "__m_zone", "__m_body")
-    df = _settled(df, __m_part=F.split(_fields(F.col("__m_body"), F.col(date_order)), r"\|", -1), __m_serial=_local_ms(F.col("__m_body")))
+    df = settled(df, __m_part=F.split(_fields(F.col("__m_body"), F.col(date_order)), r"\|", -1), __m_serial=_local_ms(F.col("__m_body")))
 
     part = lambda k: F.col("__m_part")[k]
     name_at = F.position(F.substring(part(1), 1, 3), F.lit(_MONTHS))
     month = F.when(part(1).rlike(r"^\d"), part(1).try_cast("int")).when(name_at % 3 == 1, F.floor((name_at + 2) / 3).cast("int"))
     hour, half = F.coalesce(part(4).try_cast("int"), F.lit(0)), part(3)
     hour = F.when(half == "", hour).when(half.isin("下午", "pm") & (hour < 12), hour + 12).when(half.isin("上午", "am") & (hour == 12), 0).otherwise(hour)
-    df = _settled(df, __m_y=part(0).try_cast("int"), __m_mo=month, __m_d=part(2).try_cast("int"), __m_h=hour)
+    df = settled(df, __m_y=part(0).try_cast("int"), __m_mo=month, __m_d=part(2).try_cast("int"), __m_h=hour)
     fraction = F.when(part(7) == "", F.lit("0")).otherwise(F.substring(part(7), 1, 6))
-    df = _settled(df, __m_mi=F.coalesce(part(5).try_cast("int"), F.lit(0)), __m_s=F.concat(F.coalesce(F.nullif(part(6), F.lit("")), F.lit("0")), F.lit("."), fraction).try_cast("decimal(8,6)"), __m_where=F.coalesce("__m_zone", zone))
+    df = settled(df, __m_mi=F.coalesce(part(5).try_cast("int"), F.lit(0)), __m_s=F.concat(F.coalesce(F.nullif(part(6), F.lit("")), F.lit("0")), F.lit("."), fraction).try_cast("decimal(8,6)"), __m_where=F.coalesce("__m_zone", zone))
     # A spreadsheet serial is taken apart into the same fields; its zone is the file's.
     rest, day = F.pmod("__m_serial", F.lit(86_400_000)), F.date_add(F.lit("1970-01-01").cast("date"), F.floor(F.col("__m_serial") / 86_400_000).cast("int"))
     sheet = F.try_make_timestamp(F.year(day), F.month(day), F.dayofmonth(day), F.floor(rest / 3_600_000).cast("int"), F.floor(rest % 3_600_000 / 60_000).cast("int"), (rest % 60_000 / 1000).cast("decimal(8,6)"), F.col(zone))
-    df = _settled(df, __m_sheet=F.when(F.col("__m_serial").isNotNull(), sheet))
+    df = settled(df, __m_sheet=F.when(F.col("__m_serial").isNotNull(), sheet))
     midnight = (F.col("__m_h") == 24) & (F.col("__m_mi") == 0) & (F.col("__m_s") == 0) & (half == "")
     after = F.date_add(F.try_make_timestamp_ntz("__m_y", "__m_mo", "__m_d", F.lit(0), F.lit(0), F.lit(0)).cast("date"), 1)
-    df = _settled(df, __m_next=F.when(midnight, after))
+    df = settled(df, __m_next=F.when(midnight, after))
     late = F.col("__m_next").isNotNull()
     df = df.withColumns({"__m_y": F.when(late, F.year("__m_next")).otherwise(F.col("__m_y")), "__m_mo": F.when(late, F.month("__m_next")).otherwise(F.col("__m_mo")), "__m_d": F.when(late, F.dayofmonth("__m_next")).otherwise(F.col("__m_d")), "__m_h": F.when(late, 0).otherwise(F.col("__m_h"))})
     fits = F.col("__m_y").isNotNull() & (F.col("__m_h") < 24) & (F.col("__m_s") < 60)
-    df = _settled(df, __m_read=F.when(fits, F.try_make_timestamp("__m_y", "__m_mo", "__m_d", "__m_h", "__m_mi", "__m_s", "__m_where")))
+    df = settled(df, __m_read=F.when(fits, F.try_make_timestamp("__m_y", "__m_mo", "__m_d", "__m_h", "__m_mi", "__m_s", "__m_where")))
     rounded = F.floor((F.unix_micros(F.coalesce("__m_sheet", "__m_read")) + 500) / 1000).cast("long")
     digits = F.when(F.col("__m_body").rlike(r"^(\d{10}|\d{13})$"), F.col("__m_body").try_cast("long"))
     epoch = F.when(digits < 10**11, digits * 1000).otherwise(digits)
-    return _settled(df, **{into: F.coalesce(rounded, epoch)}).drop(*temp, "__m_y", "__m_mo", "__m_d", "__m_h", "__m_mi", "__m_s", "__m_where", "__m_sheet", "__m_read", "__m_next")
+    return settled(df, **{into: F.coalesce(rounded, epoch)}).drop(*temp, "__m_y", "__m_mo", "__m_d", "__m_h", "__m_mi", "__m_s", "__m_where", "__m_sheet", "__m_read", "__m_next")
 
 
 def estimate_zones(rows: DataFrame, group: str, text: str, ingested: str, date_order: str, candidates: tuple[str, ...] = CANDIDATE_ZONES) -> DataFrame:
@@ -151,7 +146,7 @@ def estimate_zones(rows: DataFrame, group: str, text: str, ingested: str, date_o
     ingestion, then the name. Groups without readable text or with a null name do not come out.
     """
     own = rows.select(F.col(group).alias("__g"), F.col(text).alias("__t"), F.col(ingested).cast("timestamp").alias("__in"), F.col(date_order).alias("__o")).where("__g is not null")
-    own = _with_zone(_settled(own.withColumn("__utc", F.lit("UTC")), __tidy=_tidy("__t")), "__tidy", "__z", "__rest")
+    own = _with_zone(settled(own.withColumn("__utc", F.lit("UTC")), __tidy=_tidy("__t")), "__tidy", "__z", "__rest")
     own = with_instant(own, "__t", "__utc", "__o", "__ms").where("__ms is not null")
     shown = own.where(F.col("__z").rlike(r"^[+-]"))
     local = own.where(F.col("__z").isNull() & ~F.trim("__t").rlike(r"^(\d{10}|\d{13})$"))

@@ -7,6 +7,7 @@ import re
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from reconspark.functions.frames import settled
 from reconspark.functions.text import _col, half_width, is_blank, number_blank, squeeze, trimmed_key
 
 #: Unit aliases (lower case, half width), canonical unit, base, factor to the base, offset.
@@ -134,12 +135,13 @@ def to_base_units(rows: DataFrame, specs: DataFrame, key: str = "row_id") -> Dat
     facts = named.groupBy("__m").agg(F.max(F.struct("base_unit", "count_unit", F.map_entries("sizes").alias("sizes"))).alias("a"), F.min(F.struct("base_unit", "count_unit", F.map_entries("sizes").alias("sizes"))).alias("b"))
     facts = facts.where("a <=> b").select("__m", F.col("a.base_unit").alias("base_unit"), F.col("a.count_unit").alias("count_unit"), F.map_from_entries("a.sizes").alias("sizes"))
 
-    own = rows.select(F.col(key), trimmed_key("material_key").alias("__m"), F.col("unit").alias("__unit"), F.col("quantity").alias("__q")).where(~number_blank("__q"))
-    own = own.withColumn("__text", F.when(is_blank("__unit"), F.lit("")).otherwise(_tidy("__unit")))
+    own = rows.select(F.col(key), F.col("material_key").alias("__key"), F.col("unit").alias("__unit"), F.col("quantity").alias("__q")).where(~number_blank("__q"))
+    own = settled(own, __m=trimmed_key("__key"), __text=F.when(is_blank("__unit"), F.lit("")).otherwise(_tidy("__unit"))).drop("__key")
+    numeric = F.col("__text").rlike("[0-9]")
     number = F.regexp_extract("__text", r"(?<![\d.])(\d++(?:\.\d++)?)([^\d/()]+?)装?(?:$|[/()]|(?<=装)\D)", 1)
     inner = F.regexp_extract("__text", r"(?<![\d.])(\d++(?:\.\d++)?)([^\d/()]+?)(?:装\D*$|$|[/()])", 2)
-    own = own.withColumn("__n", F.when(number == "", F.lit(1).cast("decimal(12,4)")).otherwise(number.try_cast("decimal(12,4)")))
-    own = own.withColumn("__alias", F.when(F.col("__text").rlike(r"\d"), inner).otherwise(F.regexp_replace("__text", "(?<=.)装$", "")))
+    own = settled(own, __number=F.when(numeric, number).otherwise(""), __alias=F.when(numeric, inner).otherwise(F.regexp_replace("__text", "(?<=.)装$", "")))
+    own = own.withColumn("__n", F.when(F.col("__number") == "", F.lit(1).cast("decimal(12,4)")).otherwise(F.col("__number").try_cast("decimal(12,4)")))
     aliases = alias_table(rows.sparkSession)
     own = own.join(F.broadcast(aliases), own["__alias"] == aliases["alias"], "left").join(facts, "__m")
     unit = F.when(F.col("__text") == "", F.col("count_unit")).otherwise(F.col("unit"))
@@ -150,5 +152,5 @@ def to_base_units(rows: DataFrame, specs: DataFrame, key: str = "row_id") -> Dat
     # 14 and 11 digits before the point leave 12 behind it, so that the product is exact far below a thousandth.
     amount = (F.col("__q").try_cast("decimal(18,6)") * F.col("__n")).try_cast("decimal(22,8)") * each
     amount = amount + F.coalesce("unit_offset", F.lit(0)).try_cast("decimal(21,10)")
-    out = own.withColumn("__milli", F.round(amount * 1000, 0).try_cast("long"))
+    out = settled(own, __milli=F.round(amount * 1000, 0).try_cast("long"))
     return out.where(F.col("__milli").isNotNull() & (F.col("__unit").isNull() | (F.col("__unit") != F.col("base_unit")))).select(key, "base_unit", F.col("__milli").alias("milli_quantity"))
