@@ -13,7 +13,7 @@ HEAVY_AT = 10_000
 
 def _checked(refs: DataFrame, targets: DataFrame, period: list[str], heavy_at: int) -> tuple[DataFrame, DataFrame, DataFrame]:
     """The verdict on the heavy keys, and the counts by key and period with their verdict: of heavy and of light keys."""
-    counted = refs.where("ref_key is not null").groupBy("ref_key", *period).agg(F.count(F.lit(1)).alias("reference_count"))
+    counted = staged(refs.where("ref_key is not null").groupBy("ref_key", *period).agg(F.count(F.lit(1)).alias("reference_count")), "reference-counts")
     known = targets.select(F.col("target_key").alias("ref_key")).where("ref_key is not null").distinct().withColumn("__known", F.lit(True))
     heavy = counted.groupBy("ref_key").agg(F.sum("reference_count").alias("__n")).where(F.col("__n") >= heavy_at).select("ref_key")
     verdict = staged(heavy.join(known, "ref_key", "left").select("ref_key", F.col("__known").isNull().alias("orphan")), "heavy-keys")
@@ -36,14 +36,17 @@ def orphan_counts(refs: DataFrame, targets: DataFrame, period: list[str], heavy_
 def orphans(refs: DataFrame, targets: DataFrame, period: list[str], heavy_at: int = HEAVY_AT) -> DataFrame:
     """The rows of `refs` (ref_key, the `period` columns and any payload) whose ref_key is not in `targets` (target_key).
 
-    The missing keys come from the same counts as in orphan_counts. Rows of heavy keys meet the staged verdict, all
-    others the missing light keys; both parts are united.
+    The missing keys come from the same counts as in orphan_counts. Rows of heavy keys get the staged verdict: those that
+    exist are left out at once, those that do not are kept and spread over all partitions; only rows of light keys have
+    to meet the missing light keys, in one join of which the planner chooses the kind.
     """
     verdict, _, of_light = _checked(refs, targets, period, heavy_at)
-    of_heavy = refs.join(verdict.where("orphan"), "ref_key", "left_semi")
-    missing = of_light.where("orphan").select("ref_key").distinct()
-    light = refs.join(verdict, "ref_key", "left_anti").join(missing, "ref_key", "left_semi")
-    return of_heavy.unionByName(light)
+    missing = of_light.where("orphan").select(F.col("ref_key").alias("__key"), F.lit(True).alias("__missing")).distinct()
+    judged = refs.where("ref_key is not null").join(verdict.withColumnRenamed("orphan", "__heavy"), "ref_key", "left").where("__heavy is null or __heavy")
+    # No key begins with a line break, since keys are trimmed, so that a spread row meets nothing.
+    spread = F.concat(F.lit("\n"), F.xxhash64(*refs.columns).cast("string"))
+    judged = judged.withColumn("__key", F.when(F.col("__heavy").isNotNull(), spread).otherwise(F.col("ref_key")))
+    return judged.join(missing, "__key", "left").where("__heavy or __missing").select(*refs.columns)
 
 
 def orphan_report(refs: DataFrame, targets: DataFrame, by: list[str], heavy_at: int = HEAVY_AT) -> DataFrame:
