@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from reconspark.plans.chain import END, METRICS, START, TYPE_PAIRS
+from reconspark.plans.chain import FIXTURE_SCOPE, METRICS, TYPE_PAIRS
 from reconspark.plans.fixtures import with_views
 
-M0, M1 = START[:7], "1998-06"
+START, END = FIXTURE_SCOPE.start, FIXTURE_SCOPE.end
+M0, M1 = "1996-01", "1998-06"
 
 
 def s(x: str, name: str | None = None) -> str:

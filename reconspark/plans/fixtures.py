@@ -7,6 +7,8 @@ inputs only; all operators are in the DataFrame plans.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 
 from reconspark.sources.tables import table
@@ -73,7 +75,7 @@ VIEWS = {
         union all select '2001-02-30', 'PF9', 'BSHOP99', 1, 100, 0, 0, 0, 0, 0, 0, 0, '汇总2月.xlsx'""",
     "fx_shop_map": f"""
         select 'C' || lpad(cast(c as string), 2, '0') as customer_code, case when c < 20 then '客户' else '线下客户' end || lpad(cast(c as string), 2, '0') as customer_name,
-            {_SHOP.format(x='(c % 20)')} as wdt_shop, cast((c * 37) % 100 as double) / 100 as total_score,
+            {_SHOP.format(x='(c % 20)')} as wdt_shop, 'BSHOP' || lpad(cast(c % 20 as string), 2, '0') as same_name, cast((c * 37) % 100 as double) / 100 as total_score,
             case when (c * 37) % 100 >= 72 then '高置信' when (c * 37) % 100 >= 55 then '待复核' else '低置信' end as mapping_status
         from (select distinct c_custkey % 25 as c from customer) where c % 9 <> 8""",
     "fx_customer_map": """
@@ -93,11 +95,11 @@ VIEWS["fx_text"] = """
 _BASE = ("lineitem", "orders", "customer")
 
 
-def views(spark: SparkSession, d: str) -> dict[str, DataFrame]:
-    """All views as DataFrames, built from one another."""
+def views(spark: SparkSession, d: str, more: dict[str, str] | None = None) -> dict[str, DataFrame]:
+    """All views, and `more` of them, as DataFrames, built from one another."""
     known = {t: table(spark, d, t) for t in _BASE}
-    for name, sql in VIEWS.items():
-        used = {t: df for t, df in known.items() if f" {t}" in sql.replace("\n", " ")}
+    for name, sql in {**VIEWS, **(more or {})}.items():
+        used = {t: df for t, df in known.items() if re.search(rf"(from|join)\s+{t}\b", sql)}
         text = sql.replace("{", "{{").replace("}", "}}")
         for t in used:
             text = _named(text, t)
@@ -106,8 +108,6 @@ def views(spark: SparkSession, d: str) -> dict[str, DataFrame]:
 
 
 def _named(sql: str, name: str) -> str:
-    import re
-
     return re.sub(rf"(from|join)\s+{name}\b", rf"\1 {{{name}}}", sql)
 
 

@@ -8,10 +8,10 @@ from pyspark.sql import functions as F
 
 from reconspark.functions import business as B
 from reconspark.functions.numbers import parse_number
-from reconspark.operators import dedup, rollup
-from reconspark.operators.matching import best_match, cosine, graded, sequence_ratio
+from reconspark.operators import dedup, mapping, rollup
+from reconspark.operators.matching import best_match, cosine, sequence_ratio
 from reconspark.operators.recon import exception_first, exception_rank, within
-from reconspark.plans.chain import Chain
+from reconspark.plans.chain import fixture_chain
 from reconspark.plans.fixtures import views
 from reconspark.sources.tables import table
 
@@ -35,12 +35,12 @@ def surrogate_key(spark: SparkSession, d: str) -> DataFrame:
 
 def business_month(spark: SparkSession, d: str) -> DataFrame:
     """Month of the business date, else of the period's end."""
-    return Chain(spark, d).bill.select("reconcile_id", "bill_month", B.next_day("period_end").alias("reconcile_date"))
+    return fixture_chain(spark, d).bill.select("reconcile_id", "bill_month", B.next_day("period_end").alias("reconcile_date"))
 
 
 def net_measures(spark: SparkSession, d: str) -> DataFrame:
     """Net and current receivable and cash of each bill record."""
-    return Chain(spark, d).bill.select("reconcile_id", "net_receivable", "net_cash", "current_receivable", "current_cash", "computed_difference")
+    return fixture_chain(spark, d).bill.select("reconcile_id", "net_receivable", "net_cash", "current_receivable", "current_cash", "computed_difference")
 
 
 def _lines(spark: SparkSession, d: str) -> DataFrame:
@@ -75,7 +75,7 @@ def last_runs(spark: SparkSession, d: str) -> DataFrame:
 
 def semi_evidence(spark: SparkSession, d: str) -> DataFrame:
     """Orders that some bill proves, by shop."""
-    c = Chain(spark, d)
+    c = fixture_chain(spark, d)
     bills = c.bill.where("platform_order_no <> ''").select("platform_order_no")
     return c.order_dedup.join(bills, "platform_order_no", "left_semi").groupBy("shop").agg(F.count(F.lit(1)).alias("orders"), F.sum("receivable").alias("receivable"))
 
@@ -96,16 +96,16 @@ def theta_tolerance_join(spark: SparkSession, d: str) -> DataFrame:
 
 
 def cross_candidates(spark: SparkSession, d: str) -> DataFrame:
-    """Every customer with every shop; both are short lists of distinct names."""
+    """Every customer with every shop of the same platform; both are short lists of distinct names."""
     v = views(spark, d)
-    shops = v["fx_item"].select("shop").distinct()
-    pairs = v["fx_shop_map"].select("customer_code", "wdt_shop").crossJoin(shops)
-    return pairs.select("customer_code", "shop", F.when(B.platform_token("wdt_shop") == B.platform_token("shop"), 1.0).otherwise(0.0).alias("platform_score"))
+    shops = v["fx_item"].select("shop").distinct().withColumn("platform", B.platform_token("shop"))
+    customers = v["fx_shop_map"].select("customer_code", B.platform_token("wdt_shop").alias("platform"))
+    return customers.join(shops, "platform").select("customer_code", "shop", "platform")
 
 
 def expr_join_codes(spark: SparkSession, d: str) -> DataFrame:
     """Product codes joined on a part of the material key, by what came of it."""
-    c = Chain(spark, d)
+    c = fixture_chain(spark, d)
     items = c.v["fx_item"].withColumn("product_code", F.substring("material_key", 5, 100)).join(c.product_code_best.select("product_code", "sap_code"), "product_code", "left")
     kind = F.when(~F.col("material_key").ilike("SKU:%"), "code").when(F.col("sap_code").isNull(), "unknown product").otherwise("resolved product")
     return items.groupBy(kind.alias("code_kind")).agg(F.count(F.lit(1)).alias("row_count"), F.sum("quantity").alias("quantity"))
@@ -126,14 +126,14 @@ def partition_totals(spark: SparkSession, d: str) -> DataFrame:
 
 def topk_abs_diff(spark: SparkSession, d: str) -> DataFrame:
     """The twenty greatest differences between orders and bills."""
-    rows = Chain(spark, d).order_bill_recon.where("amount_difference is not null").select("platform_order_no", "amount_difference", "result")
+    rows = fixture_chain(spark, d).order_bill_recon.where("amount_difference is not null").select("platform_order_no", "amount_difference", "result")
     return rows.orderBy(F.desc(F.abs("amount_difference")), "platform_order_no").limit(20)
 
 
 def exception_order(spark: SparkSession, d: str) -> DataFrame:
     """The whole order-bill reconciliation with exceptions before agreeing results, and the rank that orders it."""
     ok = ["单号金额一致"]
-    rows = Chain(spark, d).order_bill_recon.select("platform_order_no", "result", exception_rank(ok).alias("exception_rank"))
+    rows = fixture_chain(spark, d).order_bill_recon.select("platform_order_no", "result", exception_rank(ok).alias("exception_rank"))
     return exception_first(rows, ok, "platform_order_no")
 
 
@@ -172,17 +172,17 @@ def composite_distinct(spark: SparkSession, d: str) -> DataFrame:
 
 def status_rollup(spark: SparkSession, d: str) -> DataFrame:
     """Order-bill outcomes with counts and sums."""
-    return rollup.status_rollup(Chain(spark, d).flow_order_bill, ["order_qty", "order_amount", "bill_receivable", "bill_cash"])
+    return rollup.status_rollup(fixture_chain(spark, d).flow_order_bill, ["order_qty", "order_amount", "bill_receivable", "bill_cash"])
 
 
 def result_share(spark: SparkSession, d: str) -> DataFrame:
     """Share of each order-bill outcome and a total row."""
-    return rollup.result_share(Chain(spark, d).flow_order_bill)
+    return rollup.result_share(fixture_chain(spark, d).flow_order_bill)
 
 
 def result_disposition(spark: SparkSession, d: str) -> DataFrame:
     """What becomes of each order-bill outcome, and how grave it is."""
-    counts = Chain(spark, d).flow_order_bill.groupBy("result").agg(F.count(F.lit(1)).alias("row_count"))
+    counts = fixture_chain(spark, d).flow_order_bill.groupBy("result").agg(F.count(F.lit(1)).alias("row_count"))
     what = rollup.disposition("result", ["单号应收金额一致", "单号实收金额一致"], ["单号一致金额差异"], ["仅订单", "仅账单"])
     return counts.select("result", "row_count", what.alias("disposition"), rollup.severity("result").alias("severity"))
 
@@ -202,7 +202,7 @@ def period_rollup(spark: SparkSession, d: str) -> DataFrame:
 
 def recon_controls(spark: SparkSession, d: str) -> DataFrame:
     """Control totals of the full chain as metric and value."""
-    c = Chain(spark, d)
+    c = fixture_chain(spark, d)
     matched = F.col("result").isin("单号金额一致", "单号一致金额差异")
     n = F.count(F.lit(1))
     parts = [
@@ -229,7 +229,7 @@ def _tall(parts: list[DataFrame]) -> DataFrame:
 
 def flow_controls(spark: SparkSession, d: str) -> DataFrame:
     """Control totals of the period flow as metric and value."""
-    c = Chain(spark, d)
+    c = fixture_chain(spark, d)
     s = lambda **k: [F.sum(v).alias(n) for n, v in k.items()]
     mapped = F.coalesce("customer_code", F.lit("")) != ""
     return _tall([
@@ -245,7 +245,7 @@ def flow_controls(spark: SparkSession, d: str) -> DataFrame:
 
 def flow_display_metrics(spark: SparkSession, d: str) -> DataFrame:
     """Figures shown above the flow report, with coverage ratios, as metric and value."""
-    c = Chain(spark, d)
+    c = fixture_chain(spark, d)
     r = F.col("result")
     order = c.flow_order_bill.agg(F.count(F.lit(1)).alias("order_groups"), F.count_if(r.isin("单号应收金额一致", "单号实收金额一致", "单号一致金额差异")).alias("order_key_matches"), F.count_if(r.isin("单号应收金额一致", "单号实收金额一致")).alias("order_amount_exact"))
     order = order.select("*", F.try_divide("order_key_matches", "order_groups").alias("order_key_coverage"))
@@ -259,7 +259,7 @@ def flow_display_metrics(spark: SparkSession, d: str) -> DataFrame:
 
 def detail_manifest(spark: SparkSession, d: str) -> DataFrame:
     """Row count of each exported detail."""
-    c = Chain(spark, d)
+    c = fixture_chain(spark, d)
     names = ("flow_order_bill", "flow_bill_oms", "flow_qty_recon", "flow_field_map", "flow_shop_map")
     return rollup.labelled_union({n: getattr(c, n).agg(F.count(F.lit(1)).alias("row_count")) for n in names}, "detail")
 
@@ -272,36 +272,18 @@ def name_ratio(spark: SparkSession, d: str) -> DataFrame:
 
 def customer_shop_candidates(spark: SparkSession, d: str) -> DataFrame:
     """Best bill shop of each customer by name ratio, containment and platform, graded; below the last grade it is blanked."""
-    customers = table(spark, d, "customer_shop_map").select("customer_code", "customer_name").where("customer_code is not null")
-    inner = B.inside_brackets("customer_name")
-    customers = customers.select("customer_code", "customer_name", B.normalize_name(F.when(inner != "", inner).otherwise(F.col("customer_name"))).alias("c"), B.platform_word("customer_name").alias("cp"))
-    shops = table(spark, d, "huice_detail").where("shop is not null and shop <> ''").groupBy(F.coalesce("platform", F.lit("")).alias("platform"), "shop").agg(F.count(F.lit(1)).alias("n"))
-    shops = shops.select("platform", "shop", B.normalize_name("shop").alias("s"), B.platform_word(F.concat("platform", "shop")).alias("sp"))
-    ratio = F.when((F.col("c") == "") | (F.col("s") == ""), 0.0).otherwise(F.when(F.contains("s", "c") | F.contains("c", "s"), F.greatest("ratio", F.lit(0.85))).otherwise(F.col("ratio")))
-    bonus = F.when((F.col("cp") == "") | (F.col("sp") == ""), 0.0).when(F.col("cp") == F.col("sp"), 0.12).otherwise(-0.20)
-    scored = customers.crossJoin(shops).withColumn("ratio", sequence_ratio("c", "s")).withColumn("match_score", F.round(ratio + bonus, 6))
-    best = best_match(scored, ["customer_code"], [F.desc("match_score"), F.asc("platform"), F.asc("shop")])
-    status = graded("match_score", 0.72, 0.48, ("自动高置信", "自动待复核", "未映射"))
-    keep = lambda c: F.when(F.col("mapping_status") == "未映射", "").otherwise(F.col(c))
-    return best.withColumn("mapping_status", status).select("customer_code", "customer_name", keep("platform").alias("mapped_platform"), keep("shop").alias("mapped_shop"), "match_score", "mapping_status")
+    return mapping.customer_shop_map(table(spark, d, "customer_shop_map"), table(spark, d, "huice_detail"))
 
 
 def shop_candidates(spark: SparkSession, d: str) -> DataFrame:
     """Customers against order shops: purchase profile (half), name (three tenths) and platform (a fifth)."""
     v = views(spark, d)
-    customers = v["fx_shop_map"].select("customer_code", "customer_name")
-    shops = v["fx_item"].select("shop").distinct()
-    pairs = customers.crossJoin(shops).join(vector_cosine(spark, d), ["customer_code", "shop"], "left")
-    cp, sp = B.platform_token("customer_name"), B.platform_token("shop")
-    platform = F.when((cp == "") | (sp == ""), 0.4).when(cp == sp, 1.0).otherwise(0.0)
-    scored = pairs.select("customer_code", "customer_name", "shop", F.coalesce("cosine", F.lit(0.0)).alias("vector_score"), F.round(sequence_ratio(B.normalize_shop("customer_name"), B.normalize_shop("shop")), 6).alias("name_score"), platform.alias("platform_score"))
-    return scored.withColumn("total_score", F.round(F.col("vector_score") * 0.5 + F.col("name_score") * 0.3 + F.col("platform_score") * 0.2, 6))
+    return mapping.shop_candidates(v["fx_shop_map"], v["fx_item"], vector_cosine(spark, d))
 
 
 def shop_map(spark: SparkSession, d: str) -> DataFrame:
     """The best candidate of each customer, graded."""
-    best = best_match(shop_candidates(spark, d), ["customer_code"], [F.desc("total_score"), F.asc("shop")])
-    return best.withColumn("mapping_status", graded("total_score", 0.72, 0.55))
+    return mapping.best_shops(shop_candidates(spark, d))
 
 
 _OWN = (

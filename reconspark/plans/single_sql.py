@@ -34,7 +34,7 @@ _CHAINED = {
     "semi_evidence": f"select shop, count(*) as orders, {s('receivable')} from order_dedup o where exists (select 1 from fx_bill b where b.platform_order_no = o.platform_order_no and b.platform_order_no <> '') group by 1",
     "anti_uninvoiced": f"select business_type, count(*) as row_count, {s('share_amount')} from fx_oms o where not exists (select 1 from fx_sap s where s.oms_sales_no = o.document_no) group by 1",
     "theta_tolerance_join": f"select ship_month, count(*) as pairs, {s('amount')} from fx_item join fx_oms on outbound_date = ship_date and item_code = material_key where abs(amount - share_amount) <= 1 group by 1",
-    "cross_candidates": "select customer_code, shop, case when substr(wdt_shop, 1, 2) = substr(shop, 1, 2) then 1.0::double else 0.0::double end as platform_score from fx_shop_map, (select distinct shop from fx_item)",
+    "cross_candidates": "select customer_code, shop, case substr(shop, 1, 2) when '拼多' then '拼多多' else substr(shop, 1, 2) end as platform from (select customer_code, substr(wdt_shop, 1, 2) as t from fx_shop_map) join (select distinct shop from fx_item) on t = substr(shop, 1, 2)",
     "expr_join_codes": f"select case when material_key not like 'SKU:%' then 'code' when sap_code is null then 'unknown product' else 'resolved product' end as code_kind, count(*) as row_count, {s('quantity')} from fx_item left join product_code_best on substr(material_key, 5) = product_code group by 1",
     "top_shop": f"select * from (select material_key, shop, {s('amount')} from fx_item group by 1, 2) qualify row_number() over (partition by material_key order by amount desc, shop) = 1",
     "partition_totals": f"""select *, cast(sum(abs(amount)) over w as bigint) as abs_amount_total, cast(sum(abs(quantity)) over w as bigint) as abs_qty_total, count(*) over w as item_groups

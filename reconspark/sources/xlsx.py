@@ -4,30 +4,36 @@ spark.dataSource.register(XlsxSource) makes `format("xlsx")` available. Options:
 path (a file, a folder or a glob), columns (names separated by |; without it those of the first file), positions
 (numbers separated by |, used instead of headers), max_rows (per file), exclude (text that a file name must not hold).
 Every table also has source_file and row_number. Missing headers give null; a header repeated in a file is named again
-as name#2. Only the standard library reads the files, element by element, in bounded memory.
+as name#2. The files are read element by element, in bounded memory; from the place where a sheet is no XML, each
+row that can still be told apart and mended is read by itself, and rows beyond mending are left out.
 """
 
 from __future__ import annotations
 
-import glob
-import os
+import posixpath
 import re
 import zipfile
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 from xml.etree import ElementTree as ET
 
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
+from reconspark.sources.files import matching, opened
+
+
+#: Characters that no XML may hold, and an ampersand that begins no reference.
+_FAULTS = re.compile("[\\x00-\\x08\\x0b\\x0c\\x0e-\\x1f]|&(?!#?\\w+;)")
+_ROW = re.compile(r"<(?:\w+:)?row\b[^>]*?(?:/>|>.*?</(?:\w+:)?row\s*>)", re.S)
+_PREFIX = re.compile(r"(?<=[<\s/])[A-Za-z]\w*:(?=\w+[\s=/>])")
+
 
 def column_number(reference: str | None) -> int:
     """1 for A1, 27 for AA3; 0 without letters."""
-    letters = re.match("[A-Z]+", reference or "")
-    n = 0
-    for c in letters[0] if letters else "":
-        n = n * 26 + (ord(c) - ord("A") + 1)
-    return n
+    letters = re.match("[A-Z]*", reference or "")[0]
+    return reduce(lambda n, c: 26 * n + int(c, 36) - 9, letters, 0)
 
 
 def _local(tag: str) -> str:
@@ -35,16 +41,15 @@ def _local(tag: str) -> str:
 
 
 def _first_sheet(book: zipfile.ZipFile) -> str:
-    root = ET.fromstring(book.read("xl/workbook.xml"))
-    sheet = next((e for e in root.iter() if _local(e.tag) == "sheet"), None)
-    if sheet is None:
+    """The part of the first sheet: its relation's target, absolute or seen from xl/ or from the root."""
+    sheets = [e.attrib for e in ET.fromstring(book.read("xl/workbook.xml")).iter() if _local(e.tag) == "sheet"]
+    if not sheets:
         raise ValueError("the workbook has no sheet")
-    wanted = next(v for k, v in sheet.attrib.items() if _local(k) == "id")
-    links = ET.fromstring(book.read("xl/_rels/workbook.xml.rels"))
-    target = next(e.get("Target") for e in links if e.get("Id") == wanted)
-    if target.startswith("/"):
-        return target[1:]
-    return target if target.startswith("xl/") else f"xl/{target}"
+    ids = {_local(k): v for k, v in sheets[0].items()}
+    targets = {e.get("Id"): e.get("Target") for e in ET.fromstring(book.read("xl/_rels/workbook.xml.rels"))}
+    parts = set(book.namelist())
+    places = [posixpath.normpath(posixpath.join(base, targets[ids["id"]])).lstrip("/") for base in ("/xl", "/")]
+    return next((p for p in places if p in parts), places[0])
 
 
 def _shared_strings(book: zipfile.ZipFile) -> list[str]:
@@ -69,26 +74,58 @@ def _text(cell: ET.Element, shared: list[str]) -> str | None:
     return value
 
 
+def _cells(row: ET.Element, shared: list[str]) -> dict[int, str | None]:
+    cells, at = {}, 0
+    for c in row:
+        if _local(c.tag) == "c":
+            at = column_number(c.get("r")) or at + 1
+            cells[at] = _text(c, shared)
+    return cells
+
+
+def _sound_rows(f, shared: list[str]) -> Iterator[tuple[int, dict[int, str | None]]]:
+    number, sheet = 0, None
+    for event, e in ET.iterparse(f, events=("start", "end")):
+        if event == "start":
+            sheet = e if _local(e.tag) == "sheetData" else sheet
+            continue
+        if _local(e.tag) == "row":
+            number = int(e.get("r") or number + 1)
+            cells = _cells(e, shared)
+            sheet.clear()  # drops the finished row, so memory does not grow with the sheet
+            yield number, cells
+
+
+def _mended_rows(f, shared: list[str]) -> Iterator[tuple[int, dict[int, str | None]]]:
+    """Rows found by their tags, each read by itself."""
+    number, rest = 0, ""
+    while chunk := f.read(1 << 20):
+        rest += chunk.decode("utf-8", "replace")
+        end = 0
+        for m in _ROW.finditer(rest):
+            end = m.end()
+            bare = re.sub("<[^>]*>", lambda t: _PREFIX.sub("", t[0]), m[0])
+            try:
+                row = ET.fromstring(_FAULTS.sub(lambda x: "&amp;" if x[0] == "&" else "", bare))
+            except ET.ParseError:
+                continue
+            number = int(row.get("r") or number + 1)
+            yield number, _cells(row, shared)
+        rest = rest[end:]
+
+
 def sheet_rows(path: str) -> Iterator[tuple[int, dict[int, str | None]]]:
     """(row number, column number -> text) of the first sheet; position counts where the file states no number."""
-    with zipfile.ZipFile(path) as book:
-        shared = _shared_strings(book)
-        with book.open(_first_sheet(book)) as f:
-            number, sheet = 0, None
-            for event, e in ET.iterparse(f, events=("start", "end")):
-                if event == "start":
-                    sheet = e if _local(e.tag) == "sheetData" else sheet
-                    continue
-                if _local(e.tag) != "row":
-                    continue
-                number = int(e.get("r") or number + 1)
-                cells, at = {}, 0
-                for c in e:
-                    if _local(c.tag) == "c":
-                        at = column_number(c.get("r")) or at + 1
-                        cells[at] = _text(c, shared)
-                sheet.clear()  # drops the finished row, so memory does not grow with the sheet
-                yield number, cells
+    with opened(path) as file, zipfile.ZipFile(file) as book:
+        shared, place, last = _shared_strings(book), _first_sheet(book), 0
+        try:
+            with book.open(place) as f:
+                for number, cells in _sound_rows(f, shared):
+                    last = number
+                    yield number, cells
+        except ET.ParseError:
+            with book.open(place) as f:
+                yield from ((number, cells) for number, cells in _mended_rows(f, shared) if number > last)
 
 
 def header(path: str) -> list[str]:
@@ -104,10 +141,9 @@ def header(path: str) -> list[str]:
 
 
 def files_of(path: str, exclude: str = "") -> list[str]:
-    """Workbooks of a file, folder or glob in name order; the suffix may be in any case."""
-    found = [path] if os.path.isfile(path) else glob.glob(os.path.join(path, "*") if os.path.isdir(path) else path)
-    names = [f for f in found if "xlsx" in os.path.basename(f).lower() and not os.path.basename(f).startswith("~")]
-    return sorted(f for f in names if not exclude or exclude not in os.path.basename(f))
+    """Workbooks of a file, folder or pattern in name order; the suffix may be in any case."""
+    names = [(f, posixpath.basename(f)) for f in matching(path)]
+    return [f for f, n in names if "xlsx" in n.lower() and not n.startswith("~") and not (exclude and exclude in n)]
 
 
 @dataclass
@@ -127,7 +163,7 @@ class _Reader(DataSourceReader):
         if not at:
             there = header(partition.path)
             at = [there.index(n) + 1 if n in there else 0 for n in self.names]
-        name = os.path.basename(partition.path)
+        name = posixpath.basename(partition.path)
         for number, cells in sheet_rows(partition.path):
             if number == 1:
                 continue

@@ -107,12 +107,13 @@ def test_matching(spark):
     assert best_match(votes.limit(0), ["platform"], [F.asc("order_shop")]).count() == 0
 
 
-def test_allocation_conserves_amounts(spark):
-    rows = [("g1", 100.0, 30.0, 1.0), ("g1", 100.0, -70.0, 1.0), ("g2", 50.0, 0.0, 2.0), ("g2", 50.0, 0.0, 3.0), ("g3", 9.0, 0.0, 0.0), ("g3", 9.0, 0.0, 0.0), (None, 4.0, 1.0, 1.0)]
-    df = spark.createDataFrame(rows, "g string, bill double, amount double, qty double")
-    out = pro_rata(df, ["g"], "amount", "qty", {"share": "bill"})
-    assert {(r.g, round(r.s, 9)) for r in out.groupBy("g").agg(F.sum("share").alias("s")).collect()} == {("g1", 100.0), ("g2", 50.0), ("g3", 9.0), (None, 4.0)}
+def test_pro_rata(spark):
+    items = spark.createDataFrame([("g1", 30.0, 1.0), ("g1", -70.0, 1.0), ("g2", 0.0, 2.0), ("g2", 0.0, 3.0), ("g3", 0.0, 0.0), ("g3", 0.0, 0.0), ("g9", 1.0, 1.0), (None, 1.0, 1.0)], "g string, amount double, qty double")
+    bills = spark.createDataFrame([("g1", "jan", 100.0), ("g1", "feb", 7.0), ("g2", "jan", 50.0), ("g3", "jan", 9.0), ("g4", "jan", 9.0), (None, "jan", 4.0)], "g string, month string, bill double")
+    out = pro_rata(bills, items, "g", "amount", "qty", {"share": "bill"})
+    assert {(r.g, r.month, round(r.s, 9)) for r in out.groupBy("g", "month").agg(F.sum("share").alias("s")).collect()} == {("g1", "jan", 100.0), ("g1", "feb", 7.0), ("g2", "jan", 50.0), ("g3", "jan", 9.0)}
     assert sorted(r.alloc_rate for r in out.where("g = 'g2'").collect()) == [0.4, 0.6]
+    assert {r.alloc_rate for r in out.where("g = 'g3'").collect()} == {0.5} and pro_rata(bills, items.limit(0), "g", "amount", "qty", {"share": "bill"}).count() == 0
 
 
 def test_rollups(spark):
@@ -159,9 +160,9 @@ def test_keys_before_a_last_line_break(spark):
 
 
 def test_exceptions_first_over_a_whole_reconciliation(spark, tiny):
-    from reconspark.plans.chain import Chain
+    from reconspark.plans.chain import fixture_chain
 
-    rows = Chain(spark, tiny).order_bill_recon.select("platform_order_no", "result")
+    rows = fixture_chain(spark, tiny).order_bill_recon.select("platform_order_no", "result")
     got = [(r.result == "单号金额一致", r.result, r.platform_order_no) for r in exception_first(rows, ["单号金额一致"], "platform_order_no").collect()]
     assert len(got) == rows.count() and len({ok for ok, _, _ in got}) == 2
     assert [ok for ok, _, _ in got] == sorted(ok for ok, _, _ in got)

@@ -7,10 +7,10 @@ import os
 import duckdb
 import pytest
 
-from reconspark.plans import cleaning, cleaning_sql, recon, recon_sql, single, single_sql
+from reconspark.plans import cleaning, cleaning_sql, raw, raw_sql, recon, recon_sql, single, single_sql
 
-QUERIES = cleaning.QUERIES | recon.QUERIES | single.QUERIES
-ORACLES = cleaning_sql.ORACLES | recon_sql.ORACLES | single_sql.ORACLES
+QUERIES = cleaning.QUERIES | raw.QUERIES | recon.QUERIES | single.QUERIES
+ORACLES = cleaning_sql.ORACLES | raw_sql.ORACLES | recon_sql.ORACLES | single_sql.ORACLES
 
 
 @pytest.fixture(scope="module")
