@@ -79,7 +79,7 @@ class Chain:
         """The rows within the scope's span of months, all without one."""
         return df if self.scope.span is None else df.where(F.col(month).between(*self.scope.span))
 
-    def _settle(self, *names: str) -> None:
+    def settle(self, *names: str) -> None:
         """Stages steps that several later steps read, each once a chain, so that they are computed once."""
         for name in names:
             if name not in self._settled:
@@ -216,7 +216,7 @@ class Chain:
     def uninvoiced_pool_recon(self) -> DataFrame:
         """Order management without invoice, by month and mapped shop, against the shop's bills."""
         documents = self.sap_key.select(F.col("oms_sales_no").alias("document_no")).where("document_no <> ''").distinct()
-        pool = self.v["fx_oms"].join(documents, "document_no", "left_anti").join(self.v["fx_customer_map"], "customer_code", "left")
+        pool = self.v["fx_oms"].join(documents, "document_no", "left_anti").join(self.v["fx_customer_map"].select("customer_code", "mapped_platform", "mapped_shop", "mapping_status", "match_score"), "customer_code", "left")
         pool = pool.groupBy("outbound_month", "mapped_platform", "mapped_shop", "mapping_status", "match_score", "customer_code").agg(F.min("customer_name").alias("customer_name"), *_sums(oms_qty="item_num", oms_amount="share_amount"), F.count(F.lit(1)).alias("oms_rows"))
         bills = self.bill.groupBy(F.col("bill_month").alias("outbound_month"), F.col("platform").alias("mapped_platform"), F.col("shop").alias("mapped_shop")).agg(*_sums(bill_receivable="net_receivable", bill_cash="net_cash"), F.count(F.lit(1)).alias("bill_rows"))
         both = pool.join(bills, ["outbound_month", "mapped_platform", "mapped_shop"], "left")
@@ -347,7 +347,7 @@ class Chain:
     @cached_property
     def bill_material_month(self) -> DataFrame:
         """Allocated bills by month, shop and material, with the mapped customer."""
-        self._settle("platform_order_item", "bill_order_month")
+        self.settle("platform_order_item", "bill_order_month")
         m = self.bill_customer_map.select("platform", "bill_shop", "order_shop", "customer_code", "customer_name", "final_status")
         joined = self.bill_item_alloc.join(m, ["platform", "bill_shop", "order_shop"], "left")
         return joined.groupBy("bill_month", "platform", "bill_shop", "material_code").agg(

@@ -11,7 +11,8 @@ from reconspark.functions.numbers import parse_number
 from reconspark.operators import dedup, mapping, rollup
 from reconspark.operators.matching import best_match, cosine, sequence_ratio
 from reconspark.operators.recon import exception_first, exception_rank, within
-from reconspark.plans.chain import fixture_chain
+from reconspark.plans import reports
+from reconspark.plans.chain import Chain, fixture_chain
 from reconspark.plans.fixtures import views
 from reconspark.sources.tables import table
 
@@ -200,9 +201,9 @@ def period_rollup(spark: SparkSession, d: str) -> DataFrame:
     return rollup.labelled_union({g: rollup.period_rollup(orders, "day", g, ["cents"]) for g in ("month", "quarter", "year")}, "grain")
 
 
-def recon_controls(spark: SparkSession, d: str) -> DataFrame:
+def chain_controls(c: Chain) -> DataFrame:
     """Control totals of the full chain as metric and value."""
-    c = fixture_chain(spark, d)
+    c.settle("order_platform", "bill_platform", "sap_key")
     matched = F.col("result").isin("单号金额一致", "单号一致金额差异")
     n = F.count(F.lit(1))
     parts = [
@@ -219,6 +220,11 @@ def recon_controls(spark: SparkSession, d: str) -> DataFrame:
     return _tall(parts)
 
 
+def recon_controls(spark: SparkSession, d: str) -> DataFrame:
+    """Control totals of the full chain as metric and value."""
+    return chain_controls(fixture_chain(spark, d))
+
+
 def _tall(parts: list[DataFrame]) -> DataFrame:
     out = None
     for p in parts:
@@ -227,9 +233,9 @@ def _tall(parts: list[DataFrame]) -> DataFrame:
     return out
 
 
-def flow_controls(spark: SparkSession, d: str) -> DataFrame:
+def chain_flow_controls(c: Chain) -> DataFrame:
     """Control totals of the period flow as metric and value."""
-    c = fixture_chain(spark, d)
+    c.settle("flow_shop_bill", "flow_oms_month", "flow_sap_month", "flow_billed_items")
     s = lambda **k: [F.sum(v).alias(n) for n, v in k.items()]
     mapped = F.coalesce("customer_code", F.lit("")) != ""
     return _tall([
@@ -243,9 +249,13 @@ def flow_controls(spark: SparkSession, d: str) -> DataFrame:
     ])
 
 
-def flow_display_metrics(spark: SparkSession, d: str) -> DataFrame:
+def flow_controls(spark: SparkSession, d: str) -> DataFrame:
+    """Control totals of the period flow as metric and value."""
+    return chain_flow_controls(fixture_chain(spark, d))
+
+
+def chain_display_metrics(c: Chain) -> DataFrame:
     """Figures shown above the flow report, with coverage ratios, as metric and value."""
-    c = fixture_chain(spark, d)
     r = F.col("result")
     order = c.flow_order_bill.agg(F.count(F.lit(1)).alias("order_groups"), F.count_if(r.isin("单号应收金额一致", "单号实收金额一致", "单号一致金额差异")).alias("order_key_matches"), F.count_if(r.isin("单号应收金额一致", "单号实收金额一致")).alias("order_amount_exact"))
     order = order.select("*", F.try_divide("order_key_matches", "order_groups").alias("order_key_coverage"))
@@ -257,6 +267,11 @@ def flow_display_metrics(spark: SparkSession, d: str) -> DataFrame:
     return _tall([order, bill, graded_sums, qty])
 
 
+def flow_display_metrics(spark: SparkSession, d: str) -> DataFrame:
+    """Figures shown above the flow report, with coverage ratios, as metric and value."""
+    return chain_display_metrics(fixture_chain(spark, d))
+
+
 def detail_manifest(spark: SparkSession, d: str) -> DataFrame:
     """Row count of each exported detail."""
     c = fixture_chain(spark, d)
@@ -286,9 +301,57 @@ def shop_map(spark: SparkSession, d: str) -> DataFrame:
     return mapping.best_shops(shop_candidates(spark, d))
 
 
+def mapping_averages(spark: SparkSession, d: str) -> DataFrame:
+    """Customers and mean score of each grade of the shop map."""
+    out = reports.mapping_averages(views(spark, d)["fx_shop_map"])
+    return out.withColumn("avg_score", F.round("avg_score", 9))
+
+
+def top_mappings(spark: SparkSession, d: str) -> DataFrame:
+    """The thirty best scored mappings of customers to shops."""
+    return reports.top_mappings(views(spark, d)["fx_shop_map"].select("customer_code", "wdt_shop", "total_score"))
+
+
+def ranked_sales_days(spark: SparkSession, d: str) -> DataFrame:
+    """The sample of the daily sales reconciliation: four ranks of results, then the greatest differences, at most 20,000 rows."""
+    detail = next(x for x in reports.FAMILIES["items"] if x.step == "sales_day_recon")
+    return reports.sample(fixture_chain(spark, d), detail).select("ship_date", "shop", "material_code", "customer_code", "amount_difference", "result")
+
+
+def monthly_sheet(spark: SparkSession, d: str) -> DataFrame:
+    """The months of the flow with a total row."""
+    return reports.monthly_sheet(fixture_chain(spark, d))
+
+
+def waterfall(spark: SparkSession, d: str) -> DataFrame:
+    """Tiers of matching from the strictest to the loosest, with what each covers."""
+    chain = fixture_chain(spark, d)
+    chain.settle("order_platform", "sales_day_recon")
+    return reports.waterfall(chain)
+
+
+def report_registry(spark: SparkSession, d: str) -> DataFrame:
+    """Every table that is handed out, with its family, place and sample limit."""
+    return reports.registry(fixture_chain(spark, d))
+
+
+def report_parameters(spark: SparkSession, d: str) -> DataFrame:
+    """What the figures of the full report rest on."""
+    return reports.parameters(fixture_chain(spark, d))
+
+
+def report_columns(spark: SparkSession, d: str) -> DataFrame:
+    """Names under which a report shows the columns of the shop map of the flow, in order."""
+    detail = next(x for x in reports.FAMILIES["flow"] if x.step == "flow_shop_map")
+    chain = fixture_chain(spark, d)
+    shown = reports.displayed(reports.step(chain, detail.step), detail.omit)
+    return spark.createDataFrame(list(enumerate(shown.columns, 1)), "place int, shown string")
+
+
 _OWN = (
     scan_parse_number, month_extract, surrogate_key, business_month, net_measures, keep_first, keep_last, upsert_sum, run_length_orders, last_runs, semi_evidence, anti_uninvoiced, theta_tolerance_join,
     cross_candidates, expr_join_codes, top_shop, partition_totals, topk_abs_diff, exception_order, labelled_union, vector_cosine, platform_tokens, two_level_max_sum, composite_distinct, status_rollup,
     result_share, result_disposition, safe_ratios, period_rollup, recon_controls, flow_controls, flow_display_metrics, detail_manifest, name_ratio, customer_shop_candidates, shop_candidates, shop_map,
+    mapping_averages, top_mappings, ranked_sales_days, monthly_sheet, waterfall, report_registry, report_parameters, report_columns,
 )
 QUERIES = {f.__name__: f for f in _OWN}

@@ -5,6 +5,7 @@ from __future__ import annotations
 from reconspark.functions.business import PLATFORM_TOKENS, PLATFORM_WORDS
 from reconspark.plans.chain_sql import M0, M1, STEPS, s
 from reconspark.plans.fixtures import with_views
+from reconspark.plans.reports import MONTHLY
 
 _LINE = "l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax"
 _RUNS = """select user_id, run_no, event_type, min(event_id) as first_event, count(*) as events from (
@@ -82,6 +83,18 @@ _CHAINED = {
         **{f"flow_shop_map where mapping_status = '{label}'": {f"mapping_{n}": "sum(bill_receivable)"} for n, label in (("high", "高置信"), ("review", "待复核"), ("low", "低置信"), ("none", "未映射"))},
         "flow_qty_recon where result in ('数量一致', '数量差异')": {"qty_common_groups": "count(*)", "qty_exact_groups": "count(*) filter (where result = '数量一致')", "qty_abs_difference": "sum(abs(qty_difference))", "qty_exact": "sum(case when result = '数量一致' then oms_qty end)"},
     }),
+    "mapping_averages": "select mapping_status, count(*) as customers, round(sum(total_score) / count(*), 9) as avg_score from fx_shop_map group by 1",
+    "top_mappings": "select customer_code, wdt_shop, total_score from fx_shop_map order by total_score desc, customer_code limit 30",
+    "ranked_sales_days": """select ship_date, shop, material_code, customer_code, amount_difference, result from sales_day_recon
+        order by case result when '数量金额一致' then 4 when '金额一致数量差异' then 3 when '数量一致金额差异' then 2 else 1 end, abs(amount_difference) desc nulls last, ship_date nulls first, shop nulls first, material_code nulls first, customer_code nulls first limit 20000""",
+    "monthly_sheet": f"select month, {', '.join(MONTHLY)} from flow_monthly union all select '合计', {', '.join(s(c) for c in MONTHLY)} from flow_monthly",
+    "waterfall": """select * from (with o as (select count(*) as g, cast(sum(order_count) as double) as q, cast(sum(order_amount) as double) as a from order_bill_recon where result = '单号金额一致'), n as (select cast(sum(order_count) as double) as t from order_platform),
+        i as (select count(*) filter (where oms_qty is not null and abs(amount_difference) <= 1) as g2, cast(sum(order_amount) filter (where abs(amount_difference) <= 1) as double) as a2, cast(sum(order_amount) as double) as ta,
+            count(*) filter (where oms_qty is not null and qty_difference = 0) as g3, cast(sum(order_qty) filter (where qty_difference = 0) as double) as q3, cast(sum(order_qty) as double) as tq from sales_day_recon where order_qty > 0),
+        v as (select count(*) filter (where result = '数量金额一致') as g5, cast(sum(sap_qty) filter (where result = '数量金额一致') as double) as q5, cast(sum(sap_amount) filter (where result = '数量金额一致') as double) as a5, cast(sum(sap_amount) as double) as ts from oms_sap_recon)
+        select 1 as tier, '旺店通→惠策' as link, g as groups, q as quantity, a as amount, q / t as covered, '匹配后剔除' as treatment from o, n union all select 2, '旺店通→OMS日结', g2, null, a2, a2 / ta, '匹配后剔除' from i
+        union all select 3, '旺店通→OMS日结', g3, q3, null, q3 / tq, '作为数量辅助结论' from i union all select 4, '非网店订单→OMS业务类型', null, null, null, null, '按类型分别剔除'
+        union all select 5, 'OMS月结→SAP', g5, q5, a5, a5 / ts, '匹配后剔除' from v union all select 6, '剩余总体', null, null, null, null, '列入差异明细')""",
     "detail_manifest": " union all ".join(f"select '{t}' as detail, count(*) as row_count from {t}" for t in ("flow_order_bill", "flow_bill_oms", "flow_qty_recon", "flow_field_map", "flow_shop_map")),
 }
 _PLAIN = {

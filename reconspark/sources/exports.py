@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import csv
+import hashlib
 import json
 import os
 from collections.abc import Callable, Iterator
@@ -51,15 +52,37 @@ def manifest(spark: SparkSession, written: dict[str, tuple[str, int, int]]) -> D
     return spark.createDataFrame([(k, *v) for k, v in written.items()], "detail string, path string, row_count long, embedded_rows long")
 
 
-def stage(spark: SparkSession, folder: str, name: str, make: Callable[[], DataFrame], rebuild: bool = False) -> DataFrame:
-    """Runs a stage once: its Parquet is read again if complete, else made and written."""
-    place = f"{folder}/{name}"
+def stage_key(name: str, **made_from: object) -> str:
+    """A stage's folder name: its own name and a digest of inputs and parameters, so that others make a stage of their own."""
+    said = json.dumps(made_from, sort_keys=True, default=str, ensure_ascii=False)
+    return f"{name}-{hashlib.sha256(said.encode()).hexdigest()[:16]}"
+
+
+def stage(spark: SparkSession, folder: str, name: str, make: Callable[[], DataFrame], rebuild: bool = False, **made_from: object) -> DataFrame:
+    """Runs a stage once for each set of inputs and parameters (`made_from`): its Parquet is read again if complete, else
+    made and written.
+    """
+    place = f"{folder}/{stage_key(name, **made_from)}"
     path = spark._jvm.org.apache.hadoop.fs.Path(f"{place}/_SUCCESS")
     if rebuild or not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
         make().write.mode("overwrite").parquet(place)
     return spark.read.parquet(place)
 
 
+def read_summary(path: str) -> dict[str, list[dict]]:
+    """The records of a summary document again, as reports are made from them."""
+    with open(path, encoding="utf-8") as f:
+        return json.load(f)
+
+
+def read_sample(spark: SparkSession, path: str) -> DataFrame:
+    """A sample document as a frame of texts; null stays null."""
+    with open(path, encoding="utf-8") as f:
+        found = json.load(f)
+    rows = [tuple(None if v is None else str(v) for v in r) for r in found["rows"]]
+    return spark.createDataFrame(rows, ", ".join(f"`{h}` string" for h in found["headers"]))
+
+
 def faults(parts: dict[str, DataFrame]) -> Iterator[tuple[str, str]]:
     """(table, column) of report numbers that are NaN or infinite."""
     from pyspark.sql import functions as F

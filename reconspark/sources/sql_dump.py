@@ -109,5 +109,5 @@ def read_dump(spark: SparkSession, path: str, fields: list[str], encoding: str =
     item = r"\G(?:^|,)\s*(?:'((?:[^']|'')*)'|([^',]*))\s*(?=,|$)"
     values = F.zip_with(F.regexp_extract_all("line", F.lit(item), F.lit(1)), F.regexp_extract_all("line", F.lit(item), F.lit(2)), lambda a, b: F.trim(F.regexp_replace(F.concat(a, b), "''", "'")))
     rows = body.withColumn("v", values).where(F.size("v") == len(fields))
-    out = rows.select(*[F.col("v")[i].alias(n) for i, n in enumerate(fields)], "source_file", "row_number")
+    out = rows.select(*[F.get("v", F.lit(i)).alias(n) for i, n in enumerate(fields)], "source_file", "row_number")
     return out.limit(max_rows) if max_rows else out
