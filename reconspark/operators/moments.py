@@ -7,6 +7,9 @@ which is aggregated per file, hour and offset first.
 
 from __future__ import annotations
 
+import zoneinfo
+from datetime import datetime, timezone
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -38,11 +41,12 @@ _ZONE = (
     + "|".join(sorted(ABBREVIATIONS, key=len, reverse=True)) + r"|z|utc|gmt)$"
 )
 
-#: Zones tried for a file whose zone is unknown; a parameter of estimate_zones.
-CANDIDATE_ZONES = (
-    "Asia/Shanghai", "Europe/Berlin", "Europe/London", "America/Los_Angeles", "America/New_York", "America/Chicago",
-    "America/Denver", "Australia/Sydney", "Asia/Tokyo", "Asia/Kolkata", "UTC",
+#: Names by which a zone goes first among those with the same offsets throughout the evidence; all others follow by name.
+CUSTOMARY = (
+    "UTC", "Asia/Shanghai", "Europe/Berlin", "Europe/London", "America/New_York", "America/Chicago", "America/Denver", "America/Los_Angeles", "Australia/Sydney", "Asia/Tokyo", "Asia/Kolkata",
 )
+#: Minutes to which evidence on offsets is cut; every present offset is a multiple of 15 minutes within 14 hours.
+_STEP, _FAR = 15, 900
 
 
 def _tidy(c: Column | str) -> Column:
@@ -136,51 +140,97 @@ def with_instant(df: DataFrame, text: str, zone: str, date_order: str, into: str
     return settled(df, **{into: F.coalesce(rounded, epoch)}).drop(*temp, "__m_y", "__m_mo", "__m_d", "__m_h", "__m_mi", "__m_s", "__m_where", "__m_sheet", "__m_read", "__m_next")
 
 
-def estimate_zones(rows: DataFrame, group: str, text: str, ingested: str, date_order: str, candidates: tuple[str, ...] = CANDIDATE_ZONES) -> DataFrame:
+def offset_histories(first: datetime, last: datetime) -> tuple[list[int], dict[str, list[int]]]:
+    """Bounds (unix seconds) of the spans between the clock changes of any zone from `first` to `last`, and for each
+    different history the zone that names it with its offset in minutes in each span.
+
+    All zones of the installed time zone database are candidates; of those with one history the most customary name counts.
+    """
+    hours = [int(first.timestamp()) // 3600 * 3600 + 3600 * k for k in range(0, (int(last.timestamp()) - int(first.timestamp())) // 3600 + 2)]
+    days, seen = hours[::24] + hours[-1:], {}
+    for name in sorted(zoneinfo.available_timezones(), key=lambda z: (CUSTOMARY.index(z) if z in CUSTOMARY else len(CUSTOMARY), "/" not in z, z)):
+        zone = zoneinfo.ZoneInfo(name)
+        offset = lambda t, zone=zone: int(datetime.fromtimestamp(t, zone).utcoffset().total_seconds()) // 60
+        daily = [offset(t) for t in days]
+        changes = []
+        for i, (x, y) in enumerate(zip(daily, daily[1:])):
+            if x != y:
+                within = [t for t in hours[24 * i : 24 * i + 25]]
+                changes += [(v, offset(v)) for u, v in zip(within, within[1:]) if offset(u) != offset(v)]
+        seen.setdefault((daily[0], *changes), name)
+    bounds = sorted({t for _, *changes in seen for t, _ in changes})
+    return bounds, {name: [next((o for t, o in reversed(changes) if t <= at), start) for at in [hours[0], *bounds]] for (start, *changes), name in seen.items()}
+
+
+def _span(seconds: Column, bounds: list[int]) -> Column:
+    """The number of bounds at or before a time."""
+    return F.size(F.filter(F.array(*map(F.lit, bounds)).cast("array<bigint>"), lambda b: b <= seconds)) if bounds else F.lit(0)
+
+
+def estimate_zones(rows: DataFrame, group: str, text: str, ingested: str, date_order: str, earlier: str | None = None) -> DataFrame:
     """The zone of each group (file) that its own texts violate least: group, zone, violations, evidence.
 
-    Two kinds of evidence, each aggregated per group, hour and offset before any candidate is tried: texts that
-    state a numeric offset (a candidate whose offset history has another offset at that instant is violated), and
-    local texts (a candidate that puts them after the ingestion time `ingested` is violated). The candidate
-    with the fewest violations wins, among equals the one that puts the latest local text closest to its
-    ingestion, then the name. Groups without readable text or with a null name do not come out.
+    Every text bears on the offset of the file's clock at its time. A text that states an offset or zone gives the offset
+    itself. A local text must not lie after the ingestion time `ingested`, nor (sequence order) before the moment that
+    `earlier` names in the same row with a zone of its own: both bound the offset. The evidence is counted by group, span
+    between clock changes, kind and quarter of an hour before any zone is tried; then each different offset history of
+    the time zone database is scored by the evidence it violates. The history with the fewest violations wins; among
+    equals the one that most groups with stated offsets support, then the most customary name. Histories that do not
+    differ during the evidence cannot be told apart and go by one name. Groups without readable text or with a null
+    name do not come out.
     """
-    own = rows.select(F.col(group).alias("__g"), F.col(text).alias("__t"), F.col(ingested).cast("timestamp").alias("__in"), F.col(date_order).alias("__o")).where("__g is not null")
+    own = rows.select(F.col(group).alias("__g"), F.col(text).alias("__t"), F.col(ingested).cast("timestamp").alias("__in"), F.col(date_order).alias("__o"), (F.col(earlier) if earlier else F.lit(None)).cast("string").alias("__e")).where("__g is not null")
     own = _with_zone(settled(own.withColumn("__utc", F.lit("UTC")), __tidy=_tidy("__t")), "__tidy", "__z", "__rest")
     own = with_instant(own, "__t", "__utc", "__o", "__ms").where("__ms is not null")
-    shown = own.where(F.col("__z").rlike(r"^[+-]"))
-    local = own.where(F.col("__z").isNull() & ~F.trim("__t").rlike(r"^(\d{10}|\d{13})$"))
-    hour = F.floor(F.col("__ms") / 3_600_000) * 3600
-    shown = shown.groupBy("__g", hour.alias("__s"), F.col("__z").alias("__offset")).agg(F.count(F.lit(1)).alias("__n"), F.max("__in").alias("__in"))
-    local = local.groupBy("__g", hour.alias("__s"), F.lit(None).cast("string").alias("__offset")).agg(F.count(F.lit(1)).alias("__n"), F.max("__in").alias("__in"))
-    tried = shown.unionByName(local).withColumn("zone", F.explode(F.array(*map(F.lit, candidates))))
-    at = F.timestamp_seconds("__s")
-    history = (F.unix_seconds(F.from_utc_timestamp(at, F.col("zone"))) - F.col("__s")) / 60
-    sign = F.when(F.substring("__offset", 1, 1) == "-", -1).otherwise(1)
-    stated = sign * (F.substring("__offset", 2, 2).cast("int") * 60 + F.substring("__offset", 5, 2).cast("int"))
-    lag = F.unix_seconds("__in") - F.unix_seconds(F.to_utc_timestamp(at, F.col("zone")))
-    wrong = F.when(F.col("__offset").isNotNull(), history != stated).otherwise(F.coalesce(lag < 0, F.lit(False)))
-    scored = tried.groupBy("__g", "zone").agg(
-        F.sum(F.when(wrong, F.col("__n")).otherwise(0)).alias("violations"), F.sum("__n").alias("evidence"), F.min(F.when(F.col("__offset").isNull() & (lag >= 0), lag)).alias("__lag")
-    )
-    best = scored.groupBy("__g").agg(F.min(F.struct("violations", F.coalesce("__lag", F.lit(2**40)).alias("lag"), "zone", "evidence")).alias("b"))
+    if earlier:  # read without any zone, only texts with one of their own give a moment
+        own = with_instant(own.withColumn("__nowhere", F.lit(None).cast("string")), "__e", "__nowhere", "__o", "__ems")
+    else:
+        own = own.withColumn("__ems", F.lit(None).cast("bigint"))
+    epoch = F.trim("__t").rlike(r"^(\d{10}|\d{13})$")
+    at = F.floor(F.col("__ms") / 1000)
+    sign = F.when(F.substring("__z", 1, 1) == "-", -1).otherwise(1)
+    parsed = sign * (F.substring("__z", 2, 2).cast("int") * 60 + F.substring("__z", 5, 2).cast("int"))
+    regional = ((F.unix_seconds(F.from_utc_timestamp(F.timestamp_seconds(at), F.col("__z"))) - at) / 60).cast("int")
+    stated = F.when(F.col("__z").rlike(r"^[+-]"), parsed).when(F.col("__z").isNotNull(), regional)
+    minutes = lambda ms: F.when(ms.isNotNull(), F.greatest(F.least(ms / 60_000, F.lit(_FAR)), F.lit(-_FAR)))
+    latest = F.ceil(minutes(F.col("__ms") - F.unix_millis("__in")) / _STEP) * _STEP
+    first = F.floor(minutes(F.col("__ms") - F.col("__ems")) / _STEP) * _STEP
+    local = F.col("__z").isNull() & ~epoch
+    told = {"is": stated, "from": F.when(local, latest), "to": F.when(local, first)}
+    bears = F.array(*[F.struct(F.lit(k).alias("__kind"), v.cast("int").alias("__v")) for k, v in told.items()])
+    evidence = staged(own.select("__g", (F.floor(at / 3600) * 3600).alias("__s"), F.inline(bears)).where("__v is not null").groupBy("__g", "__s", "__kind", "__v").agg(F.count(F.lit(1)).alias("__n")), "zone-evidence")
+    ends = evidence.agg(F.min("__s").alias("a"), F.max("__s").alias("b")).first()
+    moment = lambda s: datetime.fromtimestamp(min(max(s or 0, 0), 4_000_000_000), timezone.utc)
+    bounds, histories = offset_histories(moment(ends.a), moment(ends.b))
+    zones = rows.sparkSession.createDataFrame([(z, i, k, o) for i, (z, offsets) in enumerate(histories.items()) for k, o in enumerate(offsets)], "zone string, __rank int, __span int, __offset int")
+    told = evidence.withColumn("__span", _span(F.col("__s"), bounds)).groupBy("__g", "__span", "__kind", "__v").agg(F.sum("__n").alias("__n"))
+    o, v, kind = F.col("__offset"), F.col("__v"), F.col("__kind")
+    wrong = F.when(kind == "is", o != v).when(kind == "from", o < v).otherwise(o > v)
+    # As many rows as there are histories and spans in the time zone database.
+    scored = told.join(F.broadcast(zones), "__span").groupBy("__g", "zone", "__rank").agg(F.sum(F.when(wrong, F.col("__n")).otherwise(0)).alias("violations"), F.sum("__n").alias("evidence"), F.max((kind == "is").cast("int")).alias("__sure"))
+    least = scored.groupBy("__g").agg(F.min("violations").alias("violations"))
+    tied = staged(scored.join(least, ["__g", "violations"]), "zone-ties")
+    share = tied.groupBy("__g").agg((1.0 / F.count(F.lit(1))).alias("__share"))
+    support = tied.where("__sure = 1").join(share, "__g").groupBy("zone").agg(F.round(F.sum("__share"), 9).alias("__support"))
+    best = tied.join(support, "zone", "left").groupBy("__g").agg(F.min(F.struct(-F.coalesce("__support", F.lit(0.0)), "__rank", "zone", "violations", "evidence")).alias("b"))
     return best.select(F.col("__g").alias(group), F.col("b.zone").alias("zone"), F.col("b.violations").alias("violations"), F.col("b.evidence").alias("evidence"))
 
 
-def instants(rows: DataFrame, files: DataFrame, key: str, fields: tuple[str, ...], table_name: str) -> DataFrame:
+def instants(rows: DataFrame, files: DataFrame, key: str, fields: tuple[str, ...], table_name: str, earlier: str | None = None) -> DataFrame:
     """Every readable moment of a table: table_name, the key, field_name, utc_ms.
 
     `rows` has `key`, `source_file` and the fields; `files` describes each source_file (tz_name, date_order,
-    exported_at). A file without tz_name, or not described, gets the zone that estimate_zones finds for it.
+    exported_at). A file without tz_name, or not described, gets the zone that estimate_zones finds for it; `earlier` is a
+    column of `rows` whose moment comes before those of the fields.
     """
     files = files.select("source_file", F.col("tz_name").alias("__tz"), F.col("date_order").alias("__order"), F.col("exported_at").alias("__exported")).dropDuplicates(["source_file"])
-    known = rows.select(key, "source_file", *[F.col(f).cast("string").alias(f) for f in fields]).join(files, "source_file", "left")
+    known = rows.select(key, "source_file", (F.col(earlier) if earlier else F.lit(None)).cast("string").alias("__earlier"), *[F.col(f).cast("string").alias(f) for f in fields]).join(files, "source_file", "left")
 
     def tall(df: DataFrame) -> DataFrame:
         x = F.explode(F.array(*[F.struct(F.lit(f).alias("field_name"), F.col(f).alias("__v")) for f in fields]))
-        return df.select(key, "source_file", "__tz", "__order", "__exported", x.alias("__x")).select("*", "__x.*").drop("__x")
+        return df.select(key, "source_file", "__tz", "__order", "__exported", "__earlier", x.alias("__x")).select("*", "__x.*").drop("__x")
 
     # Staged, the estimates are a table of known size (one row a file), so that no row is shuffled to meet them.
-    guessed = staged(estimate_zones(tall(known.where("__tz is null")), "source_file", "__v", "__exported", "__order").select("source_file", F.col("zone").alias("__guess")), "file-zones")
+    guessed = staged(estimate_zones(tall(known.where("__tz is null")), "source_file", "__v", "__exported", "__order", "__earlier").select("source_file", F.col("zone").alias("__guess")), "file-zones")
     long = tall(known).join(guessed, "source_file", "left").withColumn("__where", F.coalesce("__tz", "__guess"))
     return with_instant(long, "__v", "__where", "__order").where("utc_ms is not null").select(F.lit(table_name).alias("table_name"), key, "field_name", "utc_ms")

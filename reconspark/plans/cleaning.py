@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from reconspark.functions.numbers import exact, parse_amount
 from reconspark.functions.text import trimmed_key, typed_key
 from reconspark.operators.differences import difference_summary, differences
-from reconspark.operators.moments import CANDIDATE_ZONES, estimate_zones, instants
+from reconspark.operators.moments import estimate_zones, instants
 from reconspark.operators.orphans import orphan_report, orphans
 from reconspark.operators.units import to_base_units
 from reconspark.sources.tables import table
@@ -19,7 +19,7 @@ AMOUNTS = ("wdt_amount", "bill_receivable", "bill_cash")
 def p1_found(spark: SparkSession, d: str) -> DataFrame:
     """Every readable ship_time, business_date and period_end as UTC milliseconds."""
     files = table(spark, d, "export_file")
-    orders = instants(table(spark, d, "wdt_orders_file"), files, "row_id", ("ship_time",), "wdt_orders_file")
+    orders = instants(table(spark, d, "wdt_orders_file"), files, "row_id", ("ship_time",), "wdt_orders_file", "payment_time")
     bills = instants(table(spark, d, "huice_detail"), files, "row_id", ("business_date", "period_end"), "huice_detail")
     return orders.unionByName(bills)
 
@@ -28,12 +28,12 @@ def p1_zones(spark: SparkSession, d: str) -> DataFrame:
     """The zone estimated for each file from its rows alone, beside the declared one."""
     files = table(spark, d, "export_file")
     names = files.select("source_file", "exported_at", "date_order", F.col("tz_name").alias("declared")).dropDuplicates(["source_file"])
-    texts = table(spark, d, "wdt_orders_file").select("source_file", F.col("ship_time").alias("t"))
+    texts = table(spark, d, "wdt_orders_file").select("source_file", F.col("ship_time").alias("t"), F.col("payment_time").alias("e"))
     bills = table(spark, d, "huice_detail")
     for field in ("business_date", "period_end"):
-        texts = texts.unionAll(bills.select("source_file", F.col(field).alias("t")))
+        texts = texts.unionAll(bills.select("source_file", F.col(field).alias("t"), F.lit(None).cast("string")))
     rows = texts.join(names, "source_file")
-    found = estimate_zones(rows, "source_file", "t", "exported_at", "date_order", CANDIDATE_ZONES)
+    found = estimate_zones(rows, "source_file", "t", "exported_at", "date_order", "e")
     return found.join(names.select("source_file", "declared"), "source_file")
 
 

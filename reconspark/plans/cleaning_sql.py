@@ -53,4 +53,38 @@ from wdt_order_item_stage {_FM} where not {_blank('material_key')}
 P7 = f"select ref_field, row_id, file_month from ({P7_ROWS}) where missing"
 P7_REPORT = f"select ref_field, file_month, count(*) as reference_count, cast(sum(case when missing then 1 else 0 end) as bigint) as orphan_count from ({P7_ROWS}) group by 1, 2"
 
-ORACLES = {"p4_found": P4, "p4_summary": f"select difference, count(*) as row_count from ({P4}) group by 1", "p7_found": P7, "p7_report": P7_REPORT}
+_DAYS = ["%Y-%m-%d", "%Y/%m/%d", "%Y.%m.%d", "%d-%b-%Y", "%d %b %Y", "%b %d, %Y", "%Y年%m月%d日", "%Y年%m月%d", "%d %B %Y", "%B %d, %Y"]
+_CLOCKS = ["", " %H:%M:%S", " %H:%M:%S.%f", "T%H:%M:%S", "T%H:%M:%S.%f", " %H:%M", "T%H:%M", " %I:%M:%S %p", " %I:%M %p", " %H时%M分%S秒"]
+
+
+def _formats(order: str) -> str:
+    xy = {"dmy": "%d{0}%m{0}%Y", "mdy": "%m{0}%d{0}%Y"}[order]
+    days = _DAYS + [xy.format(s) for s in "-/."]
+    return "[" + ", ".join(f"'{d}{c}'" for d in days for c in _CLOCKS) + ", '%Y%m%d']"
+
+
+_OFFSETS = {"Z": 0, "UTC": 0, "GMT": 0, "UT": 0, "BST": 60, "CET": 60, "CEST": 120, "EST": -300, "EDT": -240, "CDT": -300, "PST": -480, "PDT": -420, "MST": -420, "MDT": -360, "AEST": 600, "AEDT": 660, "CST": 480, "JST": 540, "HKT": 480, "IST": 330}
+_ABBR = "case upper(z) " + " ".join(f"when '{k}' then {v}" for k, v in _OFFSETS.items()) + " end"
+#: The moment that a local time names in a zone: of two the earlier, in a gap by the offset before the change.
+_AT = "case when timezone({z}, timezone({z}, {t}) - interval 1 hour) = {t} then timezone({z}, {t}) - interval 1 hour else timezone({z}, {t}) end"
+_FIELDS = (("wdt_orders_file", "ship_time"), ("huice_detail", "business_date"), ("huice_detail", "period_end"))
+_TEXTS = " union all ".join(f"select '{t}' as table_name, row_id, '{f}' as field_name, {f} as raw, source_file from {t}" for t, f in _FIELDS)
+P1 = rf"""
+with r as (select * from ({_TEXTS}) where not {_blank('raw')}),
+t as (select table_name, row_id, field_name, tz_name, date_order, trim(regexp_replace(translate(raw, '{_WIDE}', '{_ASCII}'), '[\s\x{{a0}}\x{{3000}}]+', ' ', 'g')) as t from r left join export_file using (source_file)),
+c as (select *, regexp_extract(t, '^(.*:\d\d(?:\.\d+)?)\s*((?:UTC|GMT)?\s?[+-]\d{{1,2}}(?::?\d\d)?|[A-Z][A-Za-z]+/[A-Za-z_/+-]+|\[[A-Za-z_/+-]+\]|[A-Za-z]{{1,4}})$', ['body', 'zone']) as m from t),
+b as (select *, case when m.zone <> '' and upper(m.zone) not in ('AM', 'PM') then m.body else t end as body, case when m.zone <> '' and upper(m.zone) not in ('AM', 'PM') then trim(m.zone, '[] ') end as z from c),
+n as (select *, regexp_matches(body, '\b24[:时]0?0([:分]0?0秒?)?$|^\d{{8}}240000$') as late from b),
+p as (select *, case when late then regexp_replace(regexp_replace(body, '24([:时]0?0([:分]0?0秒?)?)$', '00\1'), '240000$', '000000') when regexp_matches(body, '上午|下午') then regexp_replace(body, '(上午|下午)\s*(.*)$', '\2') || case when body like '%上午%' then ' AM' else ' PM' end else body end as s from n),
+l as (select *, case when regexp_full_match(s, '\d{{14}}') then try_strptime(s, '%Y%m%d%H%M%S') when regexp_full_match(s, '\d{{12}}') then try_strptime(s, '%Y%m%d%H%M') when date_order = 'mdy' then try_strptime(s, {_formats('mdy')}) else try_strptime(s, {_formats('dmy')}) end + case when late then interval 1 day else interval 0 day end as local,
+    case when regexp_full_match(s, '[2-6]\d{{4}}(\.\d+)?') then timestamp '1899-12-30' + to_microseconds(cast(round(cast(s as decimal(30, 15)) * 86400000) as bigint) * 1000) end as sheet from p),
+i as (select *, case when regexp_full_match(s, '\d{{13}}') then make_timestamp(cast(s as bigint) * 1000) when regexp_full_match(s, '\d{{10}}') then make_timestamp(cast(s as bigint) * 1000000)
+    when sheet is not null then {_AT.format(z='tz_name', t='sheet')} at time zone 'UTC'
+    when z is null then {_AT.format(z='tz_name', t='local')} at time zone 'UTC'
+    when z like '%/%' then {_AT.format(z='z', t='local')} at time zone 'UTC'
+    when regexp_matches(z, '[+-]\d') then local - to_minutes(case when z like '%-%' then -1 else 1 end * (cast(regexp_extract(z, '[+-](\d{{1,2}})', 1) as integer) * 60 + coalesce(try_cast(regexp_extract(z, '[+-]\d{{1,2}}:?(\d\d)$', 1) as integer), 0)))
+    else local - to_minutes({_ABBR}) end as moment from l)
+select table_name, row_id, field_name, cast(floor((epoch_us(moment) + 500) / 1000.0) as bigint) as utc_ms from i where moment is not null
+"""
+
+ORACLES = {"p1_found": P1, "p4_found": P4, "p4_summary": f"select difference, count(*) as row_count from ({P4}) group by 1", "p7_found": P7, "p7_report": P7_REPORT}

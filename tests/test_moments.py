@@ -10,7 +10,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from reconspark.operators.moments import estimate_zones, instants, with_instant
+from reconspark.operators.moments import estimate_zones, instants, offset_histories, with_instant
 
 ABBR = {"CET": 1, "CEST": 2, "PST": -8, "PDT": -7, "EST": -5, "EDT": -4, "GMT": 0, "UTC": 0, "BST": 1, "AEST": 10, "AEDT": 11, "Z": 0, "z": 0}
 CLOCKS = ["", " %H:%M:%S", " %H:%M:%S.%f", "T%H:%M:%S", "T%H:%M:%S.%f", " %H:%M", " %I:%M:%S %p"]
@@ -150,6 +150,36 @@ def test_zones_of_all_dealt_fields(spark, tmp_path):
     bills = [("a", b, t.format(k)) for t in (summer, winter) for k in range(1, 20) for b in (None, "########")] + [("b", t.format(k), None) for t in (summer, winter) for k in range(1, 20)]
     files.write.parquet(f"{tmp_path}/export_file.parquet")
     spark.createDataFrame(bills, "source_file string, business_date string, period_end string").write.parquet(f"{tmp_path}/huice_detail.parquet")
-    spark.createDataFrame([], "source_file string, ship_time string").write.parquet(f"{tmp_path}/wdt_orders_file.parquet")
+    spark.createDataFrame([], "source_file string, ship_time string, payment_time string").write.parquet(f"{tmp_path}/wdt_orders_file.parquet")
     got = {r.source_file: (r.zone, r.violations, r.evidence) for r in p1_zones(spark, str(tmp_path)).collect()}
     assert got == {"a": ("Europe/Berlin", 0, 76), "b": ("Europe/Berlin", 0, 38)}
+
+
+def test_zones_of_a_whole_system(spark):
+    """No file of a system declares its zone: the estimates read (nearly) all moments as the declared zones do."""
+    folder = "/root/testdata/sf0.01"
+    files = spark.read.parquet(f"{folder}/export_file.parquet")
+    for name, fields, system, earlier in (("huice_detail", ("business_date", "period_end"), "huice", None), ("wdt_orders_file", ("ship_time",), "wdt", "payment_time")):
+        rows = spark.read.parquet(f"{folder}/{name}.parquet")
+        blind = files.withColumn("tz_name", F.when(F.col("source_system") != system, F.col("tz_name")))
+        want = {(r.row_id, r.field_name, r.utc_ms) for r in instants(rows, files, "row_id", fields, "t").collect()}
+        got = {(r.row_id, r.field_name, r.utc_ms) for r in instants(rows, blind, "row_id", fields, "t", earlier).collect()}
+        assert len(got & want) / len(want) > 0.99, name
+
+
+def test_sequence_bounds_the_offset(spark):
+    """Without stated offsets, a known earlier moment and the ingestion leave one hour; the customary name of it wins."""
+    rows = [("f", "2025-12-10 18:10:00", "2025-12-10T10:05:00Z", "2025-12-10 10:20:00"), ("f", "2025-12-12 09:00:00", "2025-12-12 07:00:00", "2025-12-12 09:00:00"), ("g", "2025-12-10 18:10:00", None, "2026-01-10 10:20:00")]
+    df = spark.createDataFrame(rows, "f string, t string, e string, at string").withColumn("at", F.col("at").cast("timestamp_ntz")).withColumn("o", F.lit("ymd"))
+    got = {r.f: (r.zone, r.violations, r.evidence) for r in estimate_zones(df, "f", "t", "at", "o", "e").collect()}
+    assert got["f"] == ("Asia/Shanghai", 0, 3) and got["g"][1:] == (0, 1)
+    assert estimate_zones(df.limit(0), "f", "t", "at", "o", "e").count() == 0
+
+
+def test_histories_tell_zones_apart():
+    bounds, histories = offset_histories(datetime(2025, 10, 1, tzinfo=timezone.utc), datetime(2026, 6, 30, tzinfo=timezone.utc))
+    assert {"UTC", "Asia/Shanghai", "Europe/Berlin", "Europe/London", "America/Chicago", "Australia/Sydney"} <= set(histories) and "Asia/Hong_Kong" not in histories and len(histories) > 50
+    for zone, offsets in histories.items():
+        for at, want in zip([datetime(2025, 10, 1, tzinfo=timezone.utc).timestamp(), *bounds], offsets, strict=True):
+            assert datetime.fromtimestamp(at, ZoneInfo(zone)).utcoffset() == timedelta(minutes=want)
+    assert set(offset_histories(datetime(2026, 1, 1, tzinfo=timezone.utc), datetime(2026, 1, 2, tzinfo=timezone.utc))[1]) >= {"UTC", "Asia/Shanghai"}
