@@ -27,7 +27,7 @@ def p2_found(spark: SparkSession, d: str) -> DataFrame:
 
 def p3_links(spark: SparkSession, d: str) -> DataFrame:
     """Confidence of every candidate pair of customers, bill shops and order shops."""
-    return links(table(spark, d, "shop_profile"), table(spark, d, "customer_shop_map"))
+    return links(table(spark, d, "shop_profile"), table(spark, d, "customer_shop_map"), table(spark, d, "huice_detail").select("shop", "platform"))
 
 
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
