@@ -9,6 +9,7 @@ from reconspark.functions.text import typed_key
 from reconspark.llm.bpe import token_counts, token_ids
 from reconspark.llm.linkage import links, stores
 from reconspark.llm.mixing import mixture, shares
+from reconspark.llm.names import Words, learned_words
 from reconspark.llm.reading import reading_levels
 from reconspark.llm.survivors import by_field, survivors
 from reconspark.llm.variants import parsed_names, spelling_classes, spelling_pairs
@@ -25,9 +26,16 @@ def p2_found(spark: SparkSession, d: str) -> DataFrame:
     return by_field(survivors(rows, "k", "row_id", ORDER_FIELDS, "trust_rank", "exported_at"), ORDER_FIELDS)
 
 
+def _words(spark: SparkSession, d: str) -> Words:
+    """Platforms and cities as the bills and profiles write them."""
+    profiles = table(spark, d, "shop_profile")
+    said = table(spark, d, "huice_detail").select("shop", "platform").unionAll(profiles.where("profile_side <> 'oms'").select("entity_key", "platform_text"))
+    return learned_words(said, profiles.select("city_text"))
+
+
 def p3_links(spark: SparkSession, d: str) -> DataFrame:
     """Confidence of every candidate pair of customers, bill shops and order shops."""
-    return links(table(spark, d, "shop_profile"), table(spark, d, "customer_shop_map"), table(spark, d, "huice_detail").select("shop", "platform"))
+    return links(table(spark, d, "shop_profile"), table(spark, d, "customer_shop_map"), table(spark, d, "huice_detail").select("shop", "platform"), _words(spark, d))
 
 
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
@@ -40,8 +48,9 @@ def p5_classes(spark: SparkSession, d: str) -> DataFrame:
     shops = table(spark, d, "huice_detail").select("shop").unionAll(table(spark, d, "wdt_orders_file").select("shop"))
     shops = shops.where("shop is not null").groupBy("shop").agg(F.count(F.lit(1)).alias("n"))
     profiles = table(spark, d, "shop_profile").where("profile_side <> 'oms' and nick is not null").select(F.col("entity_key").alias("shop"), F.lower("nick").alias("said"))
-    nicknames = parsed_names(profiles).where("brand <> ''").select(F.col("said").alias("nick"), "brand")
-    return spelling_classes(shops, nicknames)
+    words = _words(spark, d)
+    nicknames = parsed_names(profiles, words=words).where("brand <> ''").select(F.col("said").alias("nick"), "brand")
+    return spelling_classes(shops, nicknames, words)
 
 
 def p5_found(spark: SparkSession, d: str) -> DataFrame:

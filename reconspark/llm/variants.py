@@ -1,8 +1,8 @@
 """Variant spellings of shop names, linked by a trie join.
 
 Distinct texts are taken apart, their brands are sharded into tries inside blocks of the same platform and ordinal,
-and a Levenshtein automaton walks each trie to enumerate the brands within a bounded distance. Surviving neighbours are
-checked (one edit, or characters left out, or the same characters in another order, and agreeing goods and kind).
+and a Levenshtein automaton walks each trie to enumerate the brands within a bounded distance; brands made of the same
+characters are neighbours in any order of their parts. Surviving neighbours are checked (one edit, or characters left out, or the same characters in another order, and agreeing goods and kind).
 Every spelling follows its best-attested neighbour up to a spelling that has none better attested; the spellings that
 end there are one class.
 """
@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reconspark.functions.text import is_blank
-from reconspark.llm.names import same_brand, shop_name
+from reconspark.llm.names import KNOWN, Words, character_pairs, same_brand, shop_name
 from reconspark.session import staged
 
 #: Brands of one block in one trie, and queries that walk it in one task; larger blocks take more tasks, not larger ones.
@@ -25,7 +25,7 @@ SHARD_NAMES = 4000
 DISTANCE = 2
 
 
-def parsed_names(texts: DataFrame, column: str = "shop") -> DataFrame:
+def parsed_names(texts: DataFrame, column: str = "shop", words: Words = KNOWN) -> DataFrame:
     """The text and its parts: brand, nick, platform, kind, goods, ordinal (empty where missing). One row in, one out."""
     parts = ("brand", "nick", "platform", "kind", "goods", "ordinal")
     keep = [c for c in texts.columns if c not in parts]
@@ -33,7 +33,7 @@ def parsed_names(texts: DataFrame, column: str = "shop") -> DataFrame:
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            names = [shop_name(t.as_py()) for t in batch.column(keep.index(column))]
+            names = [shop_name(t.as_py(), words) for t in batch.column(keep.index(column))]
             made = [pa.array([getattr(n, p) for n in names], pa.string()) for p in parts]
             yield pa.RecordBatch.from_arrays([*batch.columns, *made], names=[*keep, *parts])
 
@@ -68,12 +68,19 @@ def trie_pairs(names: list[str], queries: list[str], distance: int = DISTANCE) -
 def _neighbours(cores: DataFrame) -> DataFrame:
     """(block, brand, other) of brands that are spellings of one another, from tries of bounded size.
 
-    Two spellings of one brand share at least two characters, so a trie holds the brands of one block and one character
-    and is asked by that character's brands only; a pair is kept in the trie of its smallest shared character. A
-    character with more than SHARD_NAMES brands has several tries, and each is asked in parts of that size.
+    Two spellings of one brand share at least two characters, so a trie holds the brands of one block and one pair of
+    characters and is asked by that pair's brands only; two brands are kept in the trie of their smallest shared pair. A pair
+    of characters with more than SHARD_NAMES brands has several tries, and each is asked in parts of that size: the
+    rows for that grow with the square of such a pair's brands, as the walks themselves do. After the tries, brands with
+    the same characters are checked whatever their distance, since parts may stand in any order.
     """
-    own = cores.select("block", "brand", F.explode(F.array_distinct(F.split("brand", ""))).alias("letter"))
-    sizes = own.groupBy("block", "letter").agg(F.ceil(F.count(F.lit(1)) / SHARD_NAMES).cast("int").alias("__s"))
+    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = [(block, brand, key) for block, brand in zip(*(c.to_pylist() for c in batch.columns), strict=True) for key in sorted(character_pairs(brand))]
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in (zip(*rows, strict=True) if rows else ((), (), ()))], names=["block", "brand", "letter"])
+
+    own = staged(cores.select("block", "brand").mapInArrow(keyed, "block string, brand string, letter string"), "brand-pairs")
+    sizes = own.groupBy("block", "letter").agg(F.ceil(F.count(F.lit(1)) / SHARD_NAMES).cast("int").alias("__s"), F.count(F.lit(1)).alias("__n")).where("__n > 1")
     own = own.join(sizes, ["block", "letter"]).withColumn("__h", F.pmod(F.xxhash64("brand"), F.col("__s")).cast("int"))
     every = F.sequence(F.lit(0), F.col("__s") - 1)
     key = ["block", "letter", "trie", "part"]
@@ -83,22 +90,26 @@ def _neighbours(cores: DataFrame) -> DataFrame:
     def join(group: pd.DataFrame) -> pd.DataFrame:
         names, queries = (group.loc[group["side"] == s, "brand"].tolist() for s in (0, 1))
         letter = group["letter"].iloc[0]
-        pairs = [(q, n) for q, n in trie_pairs(names, queries) if same_brand(q, n) and letter == min(set(q) & set(n))]
+        pairs = [(q, n) for q, n in trie_pairs(names, queries) if same_brand(q, n) and letter == min(character_pairs(q) & character_pairs(n))]
         return pd.DataFrame({"block": group["block"].iloc[0], "brand": [q for q, _ in pairs], "other": [n for _, n in pairs]}, dtype=object)
 
     # The rows are small but each costs a walk: the number of tasks follows the cores, not the bytes.
     tasks = 3 * cores.sparkSession.sparkContext.defaultParallelism
-    return built.unionByName(asked).repartition(tasks, *key).groupBy(*key).applyInPandas(join, "block string, brand string, other string")
+    near = built.unionByName(asked).repartition(tasks, *key).groupBy(*key).applyInPandas(join, "block string, brand string, other string")
+    made_of = F.array_join(F.array_sort(F.split("brand", "")), "")
+    mine = cores.where(F.length("brand") > 2).select("block", "brand", made_of.alias("letters"))
+    swapped = mine.join(mine.withColumnRenamed("brand", "other"), ["block", "letters"]).where("brand <> other").select("block", "brand", "other")
+    return near.unionByName(swapped).distinct()
 
 
-def spelling_classes(texts: DataFrame, nicknames: DataFrame | None = None) -> DataFrame:
+def spelling_classes(texts: DataFrame, nicknames: DataFrame | None = None, words: Words = KNOWN) -> DataFrame:
     """shop, class_id (its best-attested brand with platform and ordinal) and links (other texts of the class).
 
     `texts` has shop and n (how often it occurs, above 0), one row a text; blank texts and placeholders name no store and
-    have no row. `nicknames` (nick, brand) resolves nicknames. Ties of attestation fall to the longer, then the
+    have no row. `nicknames` (nick, brand) resolves nicknames, `words` are the platforms that names may hold. Ties of attestation fall to the longer, then the
     greater text, so the result does not depend on order. No two texts of different platform or ordinal are linked.
     """
-    names = parsed_names(texts.where(~is_blank("shop")).select("shop", F.col("n").cast("long").alias("n")))
+    names = parsed_names(texts.where(~is_blank("shop")).select("shop", F.col("n").cast("long").alias("n")), words=words)
     if nicknames is not None:
         known = nicknames.groupBy("nick", "brand").agg(F.count(F.lit(1)).alias("__n")).groupBy("nick").agg(F.max(F.struct("__n", "brand"))["brand"].alias("__brand"))
         names = names.join(known, "nick", "left").withColumn("brand", F.when(F.col("brand") == "", F.coalesce("__brand", "nick")).otherwise(F.col("brand"))).drop("__brand")

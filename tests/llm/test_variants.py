@@ -4,10 +4,13 @@ import random
 
 import pytest
 
-from reconspark.llm.names import city_of, customer_name, edits, platform_of, same_brand, shop_name
-from reconspark.llm.queries import p5_classes
+from reconspark.llm.names import CITIES, PLATFORMS, Words, character_pairs, city_of, customer_name, edits, learned_words, platform_of, same_brand, shop_name
+from reconspark.llm.queries import _words, p5_classes
+from reconspark.llm import variants
 from reconspark.llm.variants import spelling_classes, spelling_pairs, trie_pairs
 
+WORDS = Words({**PLATFORMS, "欧集": ("欧集", "欧集站", "eumart"), "澳铺": ("auspu", "澳铺", "澳铺站"), "美澜": ("meilan", "美澜")}, dict(CITIES))
+
 
 @pytest.mark.parametrize(
     "text,brand,platform,kind,ordinal",
@@ -18,16 +21,16 @@ from reconspark.llm.variants import spelling_classes, spelling_pairs, trie_pairs
     ],
 )
 def test_shop_names(text, brand, platform, kind, ordinal):
-    n = shop_name(text)
+    n = shop_name(text, WORDS)
     assert (n.brand, n.platform, n.kind, n.ordinal) == (brand, platform, kind, ordinal)
 
 
 def test_other_names():
     assert shop_name("Beluka烘焙TMALL旗舰店").nick == "beluka"
     assert customer_name("广州惠爹剑系电子商务有限公司(惠爹剑系拼多多)").brand == "惠爹剑系"
-    assert customer_name("Masozu Foods (MEILAN)").nick == "masozu" and customer_name("Masozu Foods (MEILAN)").platform == "美澜"
+    assert customer_name("Masozu Foods (MEILAN)", WORDS).nick == "masozu" and customer_name("Masozu Foods (MEILAN)", WORDS).platform == "美澜"
     assert customer_name("宁波鲈宵苇猩电子商务有限公司-抖店").platform == "抖音" and customer_name(None).brand == ""
-    assert [platform_of(t) for t in ("拼多", "JD", "欧集站", None, "?")] == ["拼多多", "京东", "欧集", "", ""]
+    assert [platform_of(t, WORDS) for t in ("拼多", "JD", "欧集站", None, "?")] == ["拼多多", "京东", "欧集", "", ""]
     assert [city_of(t) for t in ("浙江杭州", "SH", "沪", None)] == ["杭州", "上海", "上海", ""]
 
 
@@ -66,8 +69,40 @@ def test_classes(spark):
 
 
 def test_test_names_fall_into_their_stores(spark, tiny):
-    rows = p5_classes(spark, tiny).collect()
+    rows, words = p5_classes(spark, tiny).collect(), _words(spark, tiny)
     for r in rows:
-        n, (brand, platform, ordinal) = shop_name(r.shop), r.class_id.split("|")
+        n, (brand, platform, ordinal) = shop_name(r.shop, words), r.class_id.split("|")
         assert (n.platform, n.ordinal) == (platform, ordinal)
         assert n.nick or n.brand == brand or set(n.brand) & set(brand)
+
+
+def test_platforms_and_cities_on_no_list(spark):
+    rows = [(f"毫翰{chr(0x4E10 + i)}彩烘焙云帆旗舰店", "云帆") for i in range(600)] + [("毫翰恭彩烘焙云帆旗舰店", "YunFan"), ("毫翰恭彩烘焙云帆企业店", " yunfan "), ("毫翰恭彩烘焙云帆站企业店", "云帆站"), ("毫翰恭彩烘焙JD企业店", "京東"), ("x", "孤例"), (None, "云帆"), ("y", None)]
+    cities = [("兰州市",), ("兰州",), ("甘肃兰州",), ("甘肃兰州",), ("兰州",), ("杭州",), ("浙江杭州",), ("LZ",), (None,)]
+    said, towns = spark.createDataFrame(rows, "shop string, platform string"), spark.createDataFrame(cities, "city_text string")
+    words = learned_words(said, towns)
+    assert set(words.platforms) == {*PLATFORMS, "云帆"} and set(words.platforms["云帆"]) == {"云帆", "云帆站", "yunfan"}
+    assert set(words.cities) == {*CITIES, "兰州"} and city_of("甘肃兰州", words) == "兰州" and city_of("兰州市", words) == "兰州"
+    assert shop_name("毫翰恭彩烘焙YUNFAN旗舰店", words) == shop_name("旗舰店（毫翰恭彩烘焙）云帆站", words) and shop_name("毫翰恭彩烘焙云帆旗舰店", words).brand == "毫翰恭彩"
+    assert learned_words(said.limit(0), towns.limit(0)) == Words(dict(PLATFORMS), dict(CITIES))
+    texts = spark.createDataFrame([("毫翰恭彩烘焙云帆旗舰店", 5), ("毫翰恭烘焙YunFan旗舰店", 1), ("毫翰恭彩烘焙京东旗舰店", 5)], "shop string, n long")
+    assert {r.shop: r.links for r in spelling_classes(texts, words=words).collect()} == {"毫翰恭彩烘焙云帆旗舰店": 1, "毫翰恭烘焙YunFan旗舰店": 1, "毫翰恭彩烘焙京东旗舰店": 0}
+
+
+def test_spellings_share_a_pair_of_characters():
+    rng = random.Random(2)
+    names = list({"".join(rng.choice("甲乙丙") for _ in range(rng.randrange(2, 6))) for _ in range(150)})
+    for a in names:
+        for b in names:
+            if a != b and same_brand(a, b):
+                assert character_pairs(a) & character_pairs(b), (a, b)
+
+
+@pytest.mark.parametrize("shard", [3, 4000])
+def test_neighbours_against_all_pairs(spark, monkeypatch, shard):
+    monkeypatch.setattr(variants, "SHARD_NAMES", shard)
+    rng = random.Random(6)
+    rows = list({(rng.choice("pq"), "".join(rng.choice("甲乙丙丁戊己") for _ in range(rng.randrange(1, 6)))) for _ in range(160)})
+    got = {tuple(r) for r in variants._neighbours(spark.createDataFrame(rows, "block string, brand string")).collect()}
+    near = lambda a, b: same_brand(a, b) and (levenshtein(a, b) <= 2 or sorted(a) == sorted(b))
+    assert got == {(p, a, b) for p, a in rows for q, b in rows if p == q and a != b and near(a, b)} and len(got) > 100
