@@ -1,5 +1,7 @@
 """The same cleaning queries as plain SQL for the DuckDB oracle, where SQL can say them."""
 
+from reconspark.operators.units import MEASURES, PACKS
+
 _KEY = r"upper(regexp_replace(regexp_replace({n}, '^=', ''), '[''\"]', '', 'g'))"
 #: Half width and without white space: NFKC of these keys and amounts is their half-width form.
 _NARROW = r"regexp_replace(translate({c}, '{wide}', '{narrow}'), '[\s\x{{a0}}\x{{3000}}]', '', 'g')"
@@ -87,4 +89,30 @@ i as (select *, case when regexp_full_match(s, '\d{{13}}') then make_timestamp(c
 select table_name, row_id, field_name, cast(floor((epoch_us(moment) + 500) / 1000.0) as bigint) as utc_ms from i where moment is not null
 """
 
-ORACLES = {"p1_found": P1, "p4_found": P4, "p4_summary": f"select difference, count(*) as row_count from ({P4}) group by 1", "p7_found": P7, "p7_report": P7_REPORT}
+#: The units and packs of operators/units.py as rows; sizes multiply up from the measure to the outermost pack.
+_NAMES = [(a, u, b, f) for u, b, f, names in MEASURES for a in names] + [(a, u, None, None) for u, names in PACKS for a in names]
+_ALIASES = ", ".join(f"('{a}', '{u}', {'null' if b is None else repr(b)}, {'null' if f is None else f + '::double'})" for a, u, b, f in _NAMES)
+_ANY = "|".join(sorted((a.replace(".", r"\.") for a, *_ in _NAMES), key=lambda a: -len(a)))
+_PACK = "|".join(sorted((a for a, _, b, _ in _NAMES if b is None), key=lambda a: -len(a)))
+P6 = rf"""
+with a(alias, unit, base, f) as (values {_ALIASES}),
+s as (select row_number() over () as sid, upper(trim(sap_code)) as sap, upper(trim(product_code)) as product, base_unit, lower({_narrow('spec_text')}) as t from material_spec where base_unit is not null),
+c as (select *, regexp_extract(t, '(?:计量单位:?|默认单位|\(按)({_ANY})', 1) as count_alias, regexp_replace(t, '[,;。]*(计量单位|默认单位|\(按).*$', '') as body from s),
+n as (select *, unnest(regexp_extract_all(body, '(\d+(?:\.\d+)?)({_ANY})', 1)) as k, unnest(regexp_extract_all(body, '(\d+(?:\.\d+)?)({_ANY})', 2)) as u, generate_subscripts(regexp_extract_all(body, '(\d+(?:\.\d+)?)({_ANY})', 1), 1) as i from c),
+v as (select sid, i, cast(k as double) as k, unit, base, f from n join a on alias = u where not (k = '1' and unit = '箱')),
+o as (select sid, k, unit, f, case when outward then i else top - i end as j from (select v.*, max(i) over (partition by sid) as top, first_value(base) over (partition by sid order by i) is not null as outward from v)),
+g as (select *, row_number() over (partition by sid order by j) as level from o),
+m as (select *, product(k * coalesce(f, 1.0)) over (partition by sid order by level rows unbounded preceding) as upto from g where sid in (select sid from g where level = 1 and f is not null)),
+sizes as (select sid, unit, lag(upto) over (partition by sid order by level) as amount from m),
+outer_unit as (select c.sid, a.unit, (select max_by(upto, level) from m where m.sid = c.sid) as amount from c join a on alias = coalesce(nullif(regexp_extract(body, '^(?:每|1)({_PACK})', 1), ''), nullif(regexp_extract(body, '/({_ANY})$', 1), ''))),
+z as (select sid, unit, first(amount) as amount from (select sid, unit, amount from sizes where amount is not null union all select sid, unit, amount from outer_unit where amount is not null) group by 1, 2),
+keys as (select sap as key, sid from s where sap is not null union all select 'SKU:' || product, min(sid) from s where product is not null group by product having count(distinct coalesce(t, '')) = 1),
+r as (select row_id, base_unit, count_alias, quantity, case when {_blank('unit')} then '' else lower({_narrow('unit')}) end as u, sid from wdt_order_item_stage i join keys on key = upper(trim(material_key)) join c using (sid) where quantity is not null and not isnan(quantity) and (unit is null or unit <> base_unit)),
+p as (select *, case when regexp_matches(u, '\d') then cast(regexp_extract(u, '(\d+(?:\.\d+)?)[^\d/()装]+', 1) as double) else 1.0 end as k,
+    case when u = '' then count_alias when regexp_matches(u, '\d') then regexp_extract(u, '\d+(?:\.\d+)?([^\d/()装]+)', 1) when length(u) > 1 then regexp_replace(u, '装$', '') else u end as word from r),
+w as (select p.*, a.unit, a.base, a.f, z.amount from p join a on a.alias = p.word left join z on z.sid = p.sid and z.unit = a.unit),
+x as (select row_id, base_unit, quantity * k * case when base = base_unit then f else amount end * 1000 as milli from w)
+select row_id, base_unit, cast(sign(milli) * floor(abs(milli) + 0.5 + 1e-6) as bigint) as milli_quantity from x where milli is not null
+"""
+
+ORACLES = {"p1_found": P1, "p4_found": P4, "p6_found": P6, "p4_summary": f"select difference, count(*) as row_count from ({P4}) group by 1", "p7_found": P7, "p7_report": P7_REPORT}
