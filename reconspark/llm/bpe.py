@@ -19,7 +19,7 @@ try:
 except ImportError:  # another folder is then given by parameter
     public_tokenizers = None
 
-#: Pieces that each worker remembers with their ids, and token pairs with their verdict; both start anew when full.
+#: Pieces and parts that each worker remembers with their ids, and pairs with their verdict; all start anew when full.
 PIECES_KEPT, PAIRS_KEPT = 200_000, 2_000_000
 
 
@@ -51,6 +51,9 @@ class Encoder:
         self.merged: dict[tuple[int, int], int] = {}
         self.pairs: dict[tuple[int, int], bool] = {}
         self.pieces: dict[str, list[int]] = {}
+        self.parts: dict[str, list[int]] = {}
+        self.apart: dict[str, bool] = {}  # two characters: whether no token holds the bytes where they meet
+        self.joint = {t[i : i + 2] for t in self.token_of for i in range(len(t) - 1)}
         for t, r in by_rank:
             cut = next((t[:n] for n in range(len(t) - 1, 0, -1) if t[:n] in self.token_of), None)
             if cut is not None:
@@ -90,8 +93,41 @@ class Encoder:
                 else:
                     b = inner
 
+    def _meet(self, pair: str) -> bool:
+        """Whether two characters stay apart whatever stands around them."""
+        u, v = (c.encode("utf-8", "surrogatepass").decode("latin-1") for c in pair)
+        found = self.apart[pair] = u[-1] + v[0] not in self.joint
+        return found
+
     def _piece(self, piece: str) -> list[int]:
-        text = piece.encode("utf-8", "surrogatepass").decode("latin-1")
+        if piece.isascii():
+            return self._part(piece)
+        if len(self.apart) > PAIRS_KEPT:
+            self.apart.clear()
+        ids: list[int] = []
+        apart, parts, start, n = self.apart, self.parts, 0, len(piece)
+        for i in range(1, n + 1):
+            if i < n:
+                pair = piece[i - 1 : i + 1]
+                cut = apart.get(pair)
+                if cut is None:
+                    cut = self._meet(pair)
+                if not cut:
+                    continue
+            part = piece[start:i]
+            found = parts.get(part)
+            if found is None:
+                found = self._part(part)
+                if len(part) <= 64:
+                    if len(parts) >= PIECES_KEPT:
+                        parts.clear()
+                    parts[part] = found
+            ids += found
+            start = i
+        return ids
+
+    def _part(self, part: str) -> list[int]:
+        text = part.encode("utf-8", "surrogatepass").decode("latin-1")
         whole = self.token_of.get(text)
         if whole is not None:
             return [whole]

@@ -47,3 +47,16 @@ def test_table(spark, tiny, oracle):
     counts = {r.doc_id: r.tokens for r in token_counts(docs, ("doc_id", "source")).collect()}
     assert counts == {k: len(v) for k, v in got.items()}
     assert token_ids(docs.limit(0)).count() == 0
+
+
+def test_random_characters_of_many_scripts(oracle):
+    """Characters that tokens join across their border and such that none joins, in any order."""
+    import random
+
+    rng, encoder = random.Random(3), Encoder(RANKS, PATTERN)
+    blocks = ((0x4E00, 0x9FFF), (0x20, 0x7F), (0x80, 0x800), (0x3040, 0x30FF), (0x1F300, 0x1F6FF))
+    pool = [chr(rng.randrange(*rng.choice(blocks))) for _ in range(400)] + list("の裏覚醒龍喚士契極 ") * 8
+    for _ in range(4000):
+        text = "".join(rng.choice(pool) for _ in range(rng.randrange(1, 30)))
+        assert encoder.encode(text) == oracle[0].encode_ordinary(text)
+    assert any(encoder.apart.values()) and not all(encoder.apart.values())
