@@ -104,6 +104,15 @@ _PLAIN = {
     "run_length_orders": _RUNS,
     "last_runs": f"select * from ({_RUNS}) qualify row_number() over (partition by user_id, event_type order by run_no desc) = 1",
     "platform_tokens": "select shop, case " + " ".join(f"when shop like '%{t}%' then '{p}'" for t, p in PLATFORM_TOKENS) + " else '' end as platform, case " + " ".join(f"when shop like '%{w}%' then '{w}'" for w in PLATFORM_WORDS) + " else '' end as word from (select distinct shop from huice_detail where shop is not null)",
+    "report_columns": """select * from (values (1, 'bill_month' || chr(10) || '账单月份'), (2, 'platform' || chr(10) || '平台'), (3, 'bill_shop' || chr(10) || '惠策店铺'), (4, 'customer_code' || chr(10) || 'OMS客户编码'),
+        (5, 'customer_name' || chr(10) || 'OMS客户名称'), (6, 'bill_records' || chr(10) || '账单记录数'), (7, 'success_count' || chr(10) || '成功记录数'), (8, 'bill_success_amount' || chr(10) || '对账成功金额'),
+        (9, 'bill_receivable' || chr(10) || '惠策本期应收'), (10, 'bill_cash' || chr(10) || '惠策本期实收'), (11, 'source_rows' || chr(10) || '源文件行数')) t(place, shown)""",
+    "report_parameters": """select * from (values ('order_bill_amount_tolerance', '0.01'), ('bill_summary_amount_tolerance', '0.01'), ('oms_sap_line_amount_tolerance', '0.01'), ('oms_sap_total_amount_tolerance', '2.0'), ('sap_filter', '发票类型描述=标准发票（2C)'),
+        ('oms_sap_key', 'OMS.document_no=SAP.OMS销售单号；再加物料编码+销售单位'), ('order_bill_key', '旺店通.原始单号=惠策.平台订单号'), ('date_scope', ''), ('money_tolerance', '1'), ('count_tolerance', '0'), ('period_start', '1996-01-01'), ('period_end', '1998-07-01')) t(name, value)""",
+    "report_registry": """select * from (values ('full', 1, 'order_bill_recon', 50000), ('full', 2, 'bill_summary_recon', 200000), ('full', 3, 'oms_sap_recon', 200000), ('full', 4, 'uninvoiced_pool_recon', 200000), ('full', 5, 'customer_map', 200000),
+        ('items', 1, 'shop_map', null), ('items', 2, 'item_month_recon', 0), ('items', 3, 'item_day_recon', 0), ('items', 4, 'sales_day_recon', 20000), ('items', 5, 'order_type_coverage', null), ('items', 6, 'shop_month_recon', null),
+        ('bridge', 1, 'bill_oms_item_recon', 20000), ('bridge', 2, 'bill_oms_shop_recon', null), ('bridge', 3, 'bill_customer_map', null), ('bridge', 4, 'bill_internal_recon', null), ('bridge', 5, 'bill_material_month', null),
+        ('flow', 1, 'flow_order_bill', 15000), ('flow', 2, 'flow_bill_oms', 20000), ('flow', 3, 'flow_qty_recon', 20000), ('flow', 4, 'flow_field_map', 20000), ('flow', 5, 'flow_shop_map', 20000)) t(family, place, detail, sample_limit)""",
     "period_rollup": " union all ".join(
         f"select '{g}' as grain, {f} as period, count(*) as row_count, cast(sum(cast(round(o_totalprice * 100) as bigint)) as bigint) as cents from orders group by 2"
         for g, f in (("month", "strftime(o_orderdate, '%Y-%m')"), ("quarter", "cast(year(o_orderdate) as string) || '-Q' || cast(quarter(o_orderdate) as string)"), ("year", "cast(year(o_orderdate) as string)"))
