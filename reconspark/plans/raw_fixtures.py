@@ -1,6 +1,6 @@
 """Raw inputs as text, made from the star-schema tables: what workbooks and dump would give, faults included.
 
-Like the views of plans/fixtures.py each is one SQL text that Spark and DuckDB read alike; columns carry field names and
+Row numbers tell all lines apart, so that runs of orders do not depend on how ties fall. Like the views of plans/fixtures.py each is one SQL text that Spark and DuckDB read alike; columns carry field names and
 are renamed to the inputs' headers or places for the readers.
 """
 
@@ -33,10 +33,10 @@ RAW = {
             '已发货' as order_status, order_type, order_day as trade_time, case when ok % 4 = 0 then '' else order_day end as payment_time, case when ok % 19 = 0 then '' else ship_day || ' 10:00:00' end as ship_time,
             case when ok % 3 = 0 then 'N/A' when ok % 3 = 1 then '1,' || lpad({_text('ok % 1000')}, 3, '0') else ' ' || {_text('ln')} end as receivable, {_text('cents')} as amount, case when ok % 178 = 0 then '' else {_text('qty')} end as quantity,
             case when pk % 10 = 0 then '' else 'M' || {_text('pk')} end as sap_code, case when pk % 7 = 0 then '' else 'P' || {_text('pk % 500')} end as product_code, unit,
-            case when ok % 17 = 0 then '订单.xlsx' else '26年' || {_text('1 + ok % 6')} || '月.xlsx' end as source_file, cast(case when ok % 23 = 0 and ln >= 4 then 1000000000 else 0 end + ok * 10 + ln as bigint) as row_number
+            case when ok % 17 = 0 then '订单.xlsx' else '26年' || {_text('1 + ok % 6')} || '月.xlsx' end as source_file, case when ok % 23 = 0 and ln >= 4 then 5000000000000000000 else 0 end + (ok * 10 + ln) * 10000000000 + pk * 10000 + cents % 10000 as row_number
         from (select l.*, {_later('i.first_day')} as ship_day, {_later('l.order_date')} as order_day, i.shop, i.order_type from fx_line l
             join (select ok, shop, order_type, min(ship_date) as first_day from fx_item group by ok, shop, order_type) i on i.ok = l.ok)
-        union all select {_head(ORDER_HEADERS.values(), 'order_no', '订单编号')}, '26年1月.xlsx', cast(500000000 as bigint)""",
+        union all select {_head(ORDER_HEADERS.values(), 'order_no', '订单编号')}, '26年1月.xlsx', cast(3000000000000000 as bigint)""",
     "raw_bill": f"""
         select {', '.join(f"{_text('b.' + c)} as {c}" if c in _AMOUNTS else "'0' as " + c if c.endswith('_difference') else "'成功' as " + c if c == 'reconcile_status' else "'' as " + c if c in ('period_start', 'failure_result') else 'b.' + c for c in _BILL)},
             '1.xlsx' as source_file, cast(substr(b.reconcile_id, 2) as bigint) as row_number from fx_bill b
